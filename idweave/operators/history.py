@@ -235,3 +235,13 @@ def stale_latest(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) ->
     cur = snapshot.select(*spec.keys, F.col(spec.resp).alias("SNAPSHOT_RESP_ID"))
     return (lt.join(cur, list(spec.keys), "inner")
             .where(F.col("LATEST_RESP_ID") != F.col("SNAPSHOT_RESP_ID")))
+
+
+def confirmed_by(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,
+                 prefix: str = "SNAPSHOT_") -> DataFrame:
+    """History rows whose (key, respondent) version appears in ``snapshot``,
+    with the snapshot's payload columns (prefixed). At most one history row
+    per version and snapshot row, so the join cannot multiply a group."""
+    K = [*spec.keys, spec.resp]
+    s = snapshot.select(*K, *[F.col(c).alias(prefix + c) for c in spec.payload(snapshot)])
+    return history.join(s, K, "inner").select(*history.columns, *[c for c in s.columns if c not in K])
