@@ -20,6 +20,7 @@ from idweave.operators import linking as L
 from idweave.operators import normalise as N
 from idweave.operators.columns import repair_columns, upcase_columns
 from idweave.operators.lookups import block_lookup, geo_lookup, id_resolution
+from idweave.session import materialise
 from idweave.sources.fixtures import Fixtures
 from idweave.sources.snapshots import union_snapshots
 
@@ -46,10 +47,16 @@ def meta(v: int) -> dict:
 
 
 class Run:
-    """Fixtures plus the history built from snapshots 1..3."""
+    """Fixtures plus the history built from snapshots 1..3.
+
+    Every advanced history is materialised in the shared checkpoint folder
+    (the stand-in for writing each history version to storage): a history
+    refers to its predecessor more than once, so an unmaterialised chain
+    of advances grows exponentially in plan size."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.fx = Fixtures(spark, sf_dir)
+        self._hist: dict[int, DataFrame] = {}
 
     def m(self, v: int) -> DataFrame:
         return self.fx.match(v)
@@ -58,10 +65,14 @@ class Run:
         return H.initial_history(self.m(1), SPEC, QUARTERS[1], 1, meta(1))
 
     def h(self, upto: int) -> DataFrame:
-        hist = self.h1()
-        for v in range(2, upto + 1):
-            hist = H.advance(hist, self.m(v), SPEC, QUARTERS[v], v, meta(v))
-        return hist
+        if upto not in self._hist:
+            if upto == 1:
+                hist = self.h1()
+            else:
+                hist = H.advance(self.h(upto - 1), self.m(upto), SPEC, QUARTERS[upto], upto,
+                                 meta(upto))
+            self._hist[upto] = materialise(hist, f"history_v{upto}")
+        return self._hist[upto]
 
     def norm_a(self) -> DataFrame:
         fx = self.fx

@@ -9,14 +9,18 @@ The settings below are the ones the operators are designed around:
   the input is free text.
 * No UI server.
 
-``materialise`` cuts lineage with a reliable ``checkpoint`` into the shared
-folder named by ``spark.checkpoint.dir``; it never uses a local checkpoint.
+``materialise`` cuts lineage by writing the DataFrame as Parquet into the
+shared folder named by ``spark.checkpoint.dir`` and reading it back (one
+pass, unlike ``checkpoint()`` which computes an unpersisted plan twice, and
+the re-read gets column pruning and filter pushdown). It never uses a
+local checkpoint or a machine-local folder on a cluster.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +36,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     # lookups are broadcast explicitly after a row-count check
     # (operators.lookups.broadcast_if_small) or by AQE from runtime sizes.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    # remove checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -70,10 +76,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, cuts the lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and return a scan of
+    it: survives executor loss, cuts the lineage."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/idweave-tables/{name or 'df'}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_dir(prefix: str = "idweave-") -> str:
