@@ -82,16 +82,22 @@ def linked_history(non_email: DataFrame, email_only: DataFrame) -> DataFrame:
 
 def vendor_match(norm_a: DataFrame, norm_b: DataFrame, resp: str = "RESP_ID",
                  a_keys: Sequence[str] = ("A_HHID", "A_INDID"),
-                 b_keys: Sequence[str] = ("B_HHID", "B_INDID")) -> DataFrame:
+                 b_keys: Sequence[str] = ("B_HHID", "B_INDID"),
+                 previous: DataFrame | None = None) -> DataFrame:
     """Persons of both vendors resolved to the same respondent, one row per
     distinct (respondent, B person, A person) with the B person's id.
 
     Both sides are reduced to distinct (respondent, key) first and blank
-    respondents are dropped (a blank id is not a respondent)."""
+    respondents are dropped (a blank id is not a respondent). ``previous``
+    (an earlier result of this function) is unioned in before the final
+    distinct, so earlier links are kept."""
     a = norm_a.where(non_blank(F.col(resp))).select(resp, *a_keys).distinct()
     b = norm_b.where(non_blank(F.col(resp))).select(resp, *b_keys).distinct()
-    return a.join(b, [resp], "inner").select(
+    out = a.join(b, [resp], "inner").select(
         resp, *b_keys, *a_keys, person_id(*b_keys).alias("PERSON_ID"))
+    if previous is not None:
+        out = out.unionByName(previous.select(*out.columns)).distinct()
+    return out
 
 
 def residual_population(everyone: DataFrame, matched: DataFrame,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from idweave.functions import ids as I
 from idweave.functions.geo import geo_parts, legacy_group, legacy_tract, restate
 from idweave.functions.demographics import age_from_birth_year, income_from_thousands
+from idweave.functions.sql import register_sql_functions
 from idweave.functions.text import zero_pad
 from idweave.operators import audit as AU
 from idweave.operators import history as H
@@ -449,6 +450,25 @@ def q_missing_regions(spark, sf):
     return AU.missing_regions(fx.vendor_xwalk, fx.pop_a, fx.pop_a_old)
 
 
+@query
+def q_missing_regions_sql(spark, sf):
+    """The region audit through the SQL API, with the split helper as a
+    native SQL function."""
+    fx = Run(spark, sf).fx
+    register_sql_functions(spark)
+    fx.vendor_xwalk.createOrReplaceTempView("idw_vendor_xwalk")
+    fx.pop_a.createOrReplaceTempView("idw_pop_a")
+    fx.pop_a_old.createOrReplaceTempView("idw_pop_a_old")
+    return spark.sql("""
+        SELECT DISTINCT y.STATE_NAME FROM (
+          SELECT DISTINCT pair_part_or_blank(A_PAIR, 0) AS A_HHID,
+                          pair_part_or_blank(A_PAIR, 1) AS A_INDID
+          FROM idw_vendor_xwalk
+          MINUS
+          SELECT DISTINCT A_HHID, A_INDID FROM idw_pop_a) x, idw_pop_a_old y
+        WHERE x.A_HHID = y.A_HHID AND x.A_INDID = y.A_INDID""")
+
+
 @query
 def q_row_counts(spark, sf):
     fx = Run(spark, sf).fx

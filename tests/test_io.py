@@ -107,3 +107,28 @@ def test_history_store_and_stream(spark, tmp_path):
                              str(tmp_path / "ckpt"), spec=HistorySpec())
     q2.awaitTermination(300)
     assert store.read().count() == 3
+
+
+def test_ingest_catalog_and_sql_functions(spark, tmp_path):
+    from idweave.functions.sql import register_sql_functions
+    from idweave.sources.catalog import publish_views, save_table
+    from idweave.sources.ingest import SourceSpec, ingest
+    p = tmp_path / "pop.txt"
+    p.write_text("MA1_MA1|IN1_MRI_ID|tu_extern_id\nx|R1|7\n")
+    df = ingest(spark, SourceSpec(str(p), fmt="pipe", repair=True, overrides={"IN1_MRI_ID": "MRI_ID"},
+                                  upcase=True))
+    assert df.columns == ["MA1", "MRI_ID", "TU_EXTERN_ID"]
+    register_sql_functions(spark)
+    r = spark.sql("select pair_part('10_2', 1) a, pair_part_or_blank('7', 1) b, "
+                  "person_key_id('T1', '1') = md5('T1|1') c").collect()[0]
+    assert (r.a, r.b, r.c) == ("2", "", True)
+    plan = spark.sql("select pair_part(A, 0) from values ('1_2') as t(A)")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Python" not in plan
+    hist = spark.createDataFrame([("A", "h", "1", 1), ("B", "h", "1", 2)],
+                                 "RESP_ID string, B_HHID string, B_INDID string, CREATED int")
+    names = publish_views(spark, hist, "xw", {"v2": hist.where("CREATED = 2")})
+    assert names == ["xw", "xw_latest", "xw_v2"]
+    assert spark.table("xw_latest").count() == 1 and spark.table("xw_v2").count() == 2
+    save_table(hist, "xw_table", path=str(tmp_path / "xw_table"))
+    assert spark.table("xw_table").count() == 2
