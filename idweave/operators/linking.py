@@ -9,7 +9,8 @@ Skew and fan-out rules used throughout:
   is used and the anti join against the history cannot multiply rows;
 * lookup sides are reduced to distinct rows before the shuffle;
 * the residual anti join with an OR of two composite keys (a nested-loop
-  join in Spark) is two hash-partitioned anti joins;
+  join in Spark) is one hash-partitioned anti join against both keys of
+  every matched row;
 * ranking inside a block group never buffers a whole group in one task:
   the distinct (group, completeness) pairs are ranked and joined back.
 """
@@ -105,11 +106,17 @@ def residual_population(everyone: DataFrame, matched: DataFrame,
                         a_keys: Sequence[str] = ("A_HHID", "A_INDID"),
                         keys: Sequence[str] = ("HHID", "INDID")) -> DataFrame:
     """Everyone whose key is in the match under neither vendor's key (keys
-    compared across vendors, as in the reference)."""
-    def key_set(cols):
-        return matched.select(*[F.col(c).alias(k) for c, k in zip(cols, keys)]).distinct()
-    out = everyone.join(key_set(b_keys), list(keys), "left_anti")
-    return out.join(key_set(a_keys), list(keys), "left_anti").select(*everyone.columns)
+    compared across vendors, as in the reference).
+
+    The reference's anti join on ``(B key) OR (A key)`` plans as a
+    broadcast nested-loop join. Here both keys of every matched row are
+    exploded into one key set (one pass over ``matched``, reduced map-side)
+    and removed with a single hash-partitioned anti join."""
+    both = F.explode(F.array(
+        F.struct(*[F.col(c).alias(k) for c, k in zip(b_keys, keys)]),
+        F.struct(*[F.col(c).alias(k) for c, k in zip(a_keys, keys)]))).alias("_k")
+    key_set = matched.select(both).select(*[F.col(f"_k.{k}").alias(k) for k in keys]).distinct()
+    return everyone.join(key_set, list(keys), "left_anti").select(*everyone.columns)
 
 
 def with_attribute_count(df: DataFrame, col: str = "ATTRIBUTE_COUNT") -> DataFrame:

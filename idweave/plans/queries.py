@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,7 @@ class Run:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.fx = Fixtures(spark, sf_dir)
         self._hist: dict[int, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def m(self, v: int) -> DataFrame:
         return self.fx.match(v)
@@ -75,19 +77,29 @@ class Run:
             self._hist[upto] = materialise(hist, f"history_v{upto}")
         return self._hist[upto]
 
-    def norm_a(self) -> DataFrame:
+    def _reused(self, name: str, build) -> DataFrame:
+        """An intermediate read by several branches of one query: persisted
+        (memory, spilling to disk) so it is computed once; a lost block is
+        recomputed from its lineage."""
+        if name not in self._tables:
+            self._tables[name] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._tables[name]
+
+    def norm_a(self, reused: bool = False) -> DataFrame:
         fx = self.fx
-        return N.normalise_a(fx.population_a(), fx.geo, fx.blocks, fx.id_res, RUN_YEAR)
+        build = lambda: N.normalise_a(fx.population_a(), fx.geo, fx.blocks, fx.id_res, RUN_YEAR)
+        return self._reused("norm_a", build) if reused else build()
 
-    def norm_b(self) -> DataFrame:
-        return N.normalise_b(self.fx.population_b(), self.fx.id_res_b)
+    def norm_b(self, reused: bool = False) -> DataFrame:
+        build = lambda: N.normalise_b(self.fx.population_b(), self.fx.id_res_b)
+        return self._reused("norm_b", build) if reused else build()
 
-    def everyone(self) -> DataFrame:
-        return N.everyone(self.norm_a(), self.norm_b())
+    def everyone(self, reused: bool = False) -> DataFrame:
+        return N.everyone(self.norm_a(reused), self.norm_b(reused))
 
-    def residual(self) -> DataFrame:
-        matched = L.vendor_match(self.norm_a(), self.norm_b())
-        return L.with_attribute_count(L.residual_population(self.everyone(), matched))
+    def residual(self, reused: bool = True) -> DataFrame:
+        matched = L.vendor_match(self.norm_a(reused), self.norm_b(reused))
+        return L.with_attribute_count(L.residual_population(self.everyone(reused), matched))
 
     def clean_pairs(self) -> DataFrame:
         return AU.clean_pairs(self.fx.vendor_xwalk, ["B_HHID", "B_INDID", "A_PAIR"])
@@ -140,7 +152,8 @@ def q_advance_delta_v3(spark, sf):
 
 @query
 def q_history_after_v3(spark, sf):
-    return Run(spark, sf).h(3)
+    r = Run(spark, sf)
+    return H.advance(r.h(2), r.m(3), SPEC, QUARTERS[3], 3, meta(3))
 
 
 @query
@@ -248,8 +261,8 @@ def q_everyone(spark, sf):
 @query
 def q_residual_population(spark, sf):
     r = Run(spark, sf)
-    matched = L.vendor_match(r.norm_a(), r.norm_b())
-    return L.residual_population(r.everyone(), matched)
+    matched = L.vendor_match(r.norm_a(True), r.norm_b(True))
+    return L.residual_population(r.everyone(True), matched)
 
 
 @query
@@ -259,7 +272,8 @@ def q_attribute_count(spark, sf):
 
 @query
 def q_rank_completeness(spark, sf):
-    return L.rank_completeness(Run(spark, sf).residual())
+    r = Run(spark, sf)
+    return L.rank_completeness(r._reused("residual", r.residual))
 
 
 @query
