@@ -14,13 +14,15 @@ person key, payload). The history keeps every version of every person:
 Scale notes (history ~ 10^9 rows, snapshot ~ 3*10^8):
 
 ``advance_delta`` reads the history once, reduced map-side to distinct
-(key, respondent) versions and then to one summary row per key. Every
-snapshot row meets at most one summary row, so a person with many
-versions, or a hot placeholder key, never multiplies rows. The reference
-form (anti join, inner join on ``!=``, 3-key anti join) shuffles the
-history three times and emits one changed row per differing version.
-All remaining skew is on the snapshot side of sort-merge joins whose other
-side is unique per key, which AQE's skew-join splitting handles.
+(key, respondent) versions and then to one summary row per key, and the
+snapshot once, reduced to one row per (key, respondent). Every snapshot
+row meets at most one row on the other side of each join, so a person
+with many versions, or a hot placeholder key, never multiplies rows; all
+output rows come from a single projection. The reference form (anti
+join, inner join on ``!=``, 3-key anti join, run as separate jobs) scans
+and shuffles the history three times and emits one changed row per
+differing version. Remaining skew sits on the snapshot side of joins whose
+other side is unique per key, which AQE's skew-join splitting handles.
 """
 
 from __future__ import annotations
@@ -149,43 +151,54 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
       smallest by (respondent, payload));
     * CHANGED when ``k`` is known, ``a.resp`` is not null, the history has a
       non-null respondent for ``k`` and none equal to ``a.resp`` (so some
-      recorded version differs). Also when ``k`` is new and ``a.resp``
-      differs from the NEW survivor's respondent (the reference appends
-      new rows before looking for changes).
+      recorded version differs). Also when ``k`` is new (and not null) and
+      ``a.resp`` differs from the NEW survivor's respondent (the reference
+      appends new rows before looking for changes).
+
+    Plan: the snapshot is reduced to one row per (key, respondent) (the
+    smallest payload), joined to the distinct recorded versions on
+    (key, respondent) and to a per-key summary of the history on key;
+    survivors of new keys are a per-key aggregate joined back on key. All
+    joins have a side that is unique per join key, so nothing fans out,
+    and every output row comes out of one projection (no union, so the
+    snapshot and the history are each scanned once).
     """
     K, R = list(spec.keys), spec.resp
     payload = spec.payload(match)
-    m = match.select(R, *K, *payload)
+    has_key = spec.key_not_null(match)
 
-    # distinct versions, reduced map-side; one summary row per key
+    # snapshot versions: one row per (key, respondent), smallest payload
+    snap = _min_row(match.where(has_key), [*K, R], payload)
+    # recorded versions (map-side distinct) and one summary row per key
     versions = (history.where(spec.key_not_null(history))
-                .groupBy(*K, R).agg(F.min(spec.person).alias("_pid")))
+                .groupBy(*K, R).agg(F.min(spec.person).alias("_vpid")))
     summary = versions.groupBy(*K).agg(
-        F.min("_pid").alias("_pid"), F.count(R).alias("_n_resp"), F.lit(True).alias("_known"))
-
-    tagged = m.join(summary, K, "left")
-    known = tagged.where(F.col("_known"))
-    unseen = tagged.where(F.col("_known").isNull()).select(R, *K, *payload)
-
-    # changed against recorded versions: resp not yet recorded for the key
-    cand = known.where(F.col(R).isNotNull() & (F.col("_n_resp") > 0))
-    changed_old = cand.join(versions.select(*K, R), [*K, R], "left_anti")
-    changed_old = _min_row(changed_old, [*K, R], ["_pid", *payload])
-
-    # new persons: one survivor per key
-    survivors = _min_row(unseen, K, [R, *payload])
-    new_rows = _stamp(survivors, spec, payload, quarter, created, meta)
-
-    # changed against the survivor just appended for a new key
-    s = survivors.select(*K, F.col(R).alias("_sr"))
-    changed_new = (unseen.join(s, K, "inner")
-                   .where(F.col(R).isNotNull() & (F.col(R) != F.col("_sr")))
-                   .drop("_sr"))
-    changed_new = _min_row(changed_new.withColumn("_pid", spec.new_id()), [*K, R], ["_pid", *payload])
-
-    changed = changed_old.unionByName(changed_new)
-    changed_rows = _stamp(changed, spec, payload, quarter, created, meta, pid=F.col("_pid"))
-    return new_rows.unionByName(changed_rows)
+        F.min("_vpid").alias("_pid"), F.count(R).alias("_n_resp"), F.lit(True).alias("_known"))
+
+    seen = versions.select(*K, R, F.lit(True).alias("_seen"))
+    # one exchange on the key, shared by the survivor aggregate and the
+    # join back below
+    j = snap.join(seen, [*K, R], "left").join(summary, K, "left").repartition(*K)
+
+    # survivor (smallest respondent, then payload) of every new key
+    surv = (j.where(F.col("_known").isNull()).groupBy(*K)
+            .agg(F.min(F.struct(R, *payload)).alias("_s"))
+            .select(*K, F.col("_s")[R].alias("_sr"), F.lit(True).alias("_fresh")))
+    t = j.join(surv, K, "left")
+
+    r, sr = F.col(R), F.col("_sr")
+    is_new = F.col("_fresh") & r.eqNullSafe(sr)
+    changed_new = F.col("_fresh") & r.isNotNull() & sr.isNotNull() & (r != sr)
+    changed_old = (F.col("_known") & r.isNotNull() & (F.col("_n_resp") > 0)
+                   & F.col("_seen").isNull())
+    keep = F.coalesce(is_new | changed_new | changed_old, F.lit(False))
+    pid = F.when(F.col("_known"), F.col("_pid")).otherwise(spec.new_id())
+    rows = _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid)
+
+    # keys with a null part never equal a recorded key: one new row per
+    # null pattern, never a change (read with a pushed-down IS NULL filter)
+    null_keys = _min_row(match.where(~has_key), K, [R, *payload])
+    return rows.unionByName(_stamp(null_keys, spec, payload, quarter, created, meta))
 
 
 def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
