@@ -68,12 +68,13 @@ class Run:
         return H.initial_history(self.m(1), SPEC, QUARTERS[1], 1, meta(1))
 
     def h(self, upto: int) -> DataFrame:
+        """History after snapshot ``upto``. The initial load is only the
+        stamped snapshot (one scan, no shuffle), so it is read as is; every
+        advanced history is written once and read back."""
+        if upto == 1:
+            return self.h1()
         if upto not in self._hist:
-            if upto == 1:
-                hist = self.h1()
-            else:
-                hist = H.advance(self.h(upto - 1), self.m(upto), SPEC, QUARTERS[upto], upto,
-                                 meta(upto))
+            hist = H.advance(self.h(upto - 1), self.m(upto), SPEC, QUARTERS[upto], upto, meta(upto))
             self._hist[upto] = materialise(hist, f"history_v{upto}")
         return self._hist[upto]
 
