@@ -141,7 +141,7 @@ def changed_records(match: DataFrame, history: DataFrame, spec: HistorySpec, qua
 
 
 def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
-                  created, meta: Mapping | None = None) -> DataFrame:
+                  created, meta: Mapping | None = None, partitions: int | None = None) -> DataFrame:
     """Rows one snapshot adds to the history: new persons, then changed
     respondents, with the same rows as the reference's new-then-changed
     sequence (changed rows deduplicated, see module notes).
@@ -162,10 +162,17 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     joins have a side that is unique per join key, so nothing fans out,
     and every output row comes out of one projection (no union, so the
     snapshot and the history are each scanned once).
+
+    ``partitions``: when the history is a table bucketed by the person key
+    into that many buckets, hash-partition the snapshot the same way; every
+    join and aggregate then runs on the buckets and the history is not
+    shuffled at all (``HistoryStore(bucketed=...)``).
     """
     K, R = list(spec.keys), spec.resp
     payload = spec.payload(match)
     has_key = spec.key_not_null(match)
+    if partitions:
+        match = match.repartition(partitions, *K)
 
     # snapshot versions: one row per (key, respondent), smallest payload
     snap = _min_row(match.where(has_key), [*K, R], payload)
@@ -202,9 +209,9 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
 
 
 def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
-            created, meta: Mapping | None = None) -> DataFrame:
+            created, meta: Mapping | None = None, partitions: int | None = None) -> DataFrame:
     """History after one snapshot (append only)."""
-    delta = advance_delta(history, match, spec, quarter, created, meta)
+    delta = advance_delta(history, match, spec, quarter, created, meta, partitions)
     return history.unionByName(delta.select(*history.columns))
 
 

@@ -22,7 +22,7 @@ from idweave.operators import linking as L
 from idweave.operators import normalise as N
 from idweave.operators.columns import repair_columns, upcase_columns
 from idweave.operators.lookups import block_lookup, geo_lookup, id_resolution
-from idweave.session import materialise
+from idweave.session import configure, materialise
 from idweave.sources.fixtures import Fixtures
 from idweave.sources.snapshots import union_snapshots
 
@@ -57,6 +57,7 @@ class Run:
     of advances grows exponentially in plan size."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        configure(spark)
         self.fx = Fixtures(spark, sf_dir)
         self._hist: dict[int, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}

@@ -40,6 +40,23 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Runtime SQL settings the operators rely on; ``configure`` applies them to
+# a session built elsewhere. A join on (person key, respondent) may reuse a
+# partitioning on the person key alone (the history is bucketed by person
+# key), instead of re-shuffling the history on the longer key.
+RUNTIME_SQL_CONF: dict[str, str] = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
+}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    for k, v in RUNTIME_SQL_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
 
 def get_session(
     app: str = "idweave",
@@ -58,6 +75,7 @@ def get_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    configure(spark)
     ensure_checkpoint_dir(spark)
     return spark
 

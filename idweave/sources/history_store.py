@@ -5,10 +5,17 @@ two never land separately); the history is the scan of all partitions.
 Nothing is ever overwritten, so a reader never sees a half-replaced table
 and a failed run leaves earlier versions intact. Reading "as of" version
 n is a partition-pruned scan (``v <= n``).
+
+With ``table`` and ``buckets`` the store is a catalog table bucketed (and
+sorted) by the person key: the latest view reads it without any shuffle,
+and an advance (``advance_delta(..., partitions=buckets)``) shuffles only
+the snapshot, never the history.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,17 +25,28 @@ VERSION_COL = "v"
 
 
 class HistoryStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, table: str | None = None,
+                 keys: Sequence[str] = ("B_HHID", "B_INDID"), buckets: int | None = None):
         self.spark, self.root = spark, root.rstrip("/")
+        self.table, self.keys, self.buckets = table, tuple(keys), buckets
+        if self.bucketed and not table:
+            raise ValueError("a bucketed history needs a table name")
+
+    @property
+    def bucketed(self) -> bool:
+        return bool(self.buckets)
 
     def exists(self) -> bool:
+        if self.table:
+            return self.spark.catalog.tableExists(self.table)
         return path_exists(self.spark, self.root)
 
     def next_version(self) -> int:
+        """Next free ``v=<n>`` directory under the root (file listing, no scan)."""
         return next_version(self.spark, self.root)
 
     def read(self, as_of: int | None = None, with_version: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.root)
+        df = self.spark.table(self.table) if self.table else self.spark.read.parquet(self.root)
         if as_of is not None:
             df = df.where(F.col(VERSION_COL) <= as_of)
         return df if with_version else df.drop(VERSION_COL)
@@ -39,5 +57,12 @@ class HistoryStore:
         path = f"{self.root}/{VERSION_COL}={v}"
         if path_exists(self.spark, path):
             raise FileExistsError(f"history version {v} already written")
-        delta.write.mode("errorifexists").parquet(path)
+        if self.table:
+            w = (delta.withColumn(VERSION_COL, F.lit(v)).write.mode("append").format("parquet")
+                 .partitionBy(VERSION_COL).option("path", self.root))
+            if self.bucketed:
+                w = w.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+            w.saveAsTable(self.table)
+        else:
+            delta.write.mode("errorifexists").parquet(path)
         return v

@@ -29,19 +29,21 @@ def advance_batch(batch: DataFrame, store: HistoryStore, spec: HistorySpec, quar
     empty, else the delta against the whole stored history."""
     if not store.exists():
         return store.append(initial_history(batch, spec, quarter, created, meta))
-    delta = advance_delta(store.read(), batch, spec, quarter, created, meta)
+    delta = advance_delta(store.read(), batch, spec, quarter, created, meta,
+                          partitions=store.buckets if store.bucketed else None)
     return store.append(delta)
 
 
 def advance_from_stream(spark: SparkSession, landing: str, schema: StructType, store_root: str,
                         checkpoint: str, spec: HistorySpec = HistorySpec(),
                         version_col: str | None = "v", quarter_of=None, fmt: str = "parquet",
-                        available_now: bool = True):
+                        available_now: bool = True, table: str | None = None,
+                        buckets: int | None = None):
     """Start the stream; returns the ``StreamingQuery``.
 
     ``quarter_of(version) -> str`` names the quarter stamped on rows of a
     snapshot (default ``Q<version>``); ``created`` is the version number."""
-    store = HistoryStore(spark, store_root)
+    store = HistoryStore(spark, store_root, table=table, keys=spec.keys, buckets=buckets)
     quarter_of = quarter_of or (lambda v: f"Q{v}")
 
     def apply(batch: DataFrame, batch_id: int) -> None:

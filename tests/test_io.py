@@ -132,3 +132,38 @@ def test_ingest_catalog_and_sql_functions(spark, tmp_path):
     assert spark.table("xw_latest").count() == 1 and spark.table("xw_v2").count() == 2
     save_table(hist, "xw_table", path=str(tmp_path / "xw_table"))
     assert spark.table("xw_table").count() == 2
+
+
+def test_bucketed_history_store_never_shuffles_the_history(spark, tmp_path):
+    import re
+    from idweave.operators import history as H
+    from idweave.sources.fixtures import Fixtures
+    from conftest import SF_SMALL
+    spec = HistorySpec()
+    fx = Fixtures(spark, SF_SMALL)
+    store = HistoryStore(spark, str(tmp_path / "hist_bk"), table="idw_hist_bk", keys=spec.keys, buckets=4)
+    plain = HistoryStore(spark, str(tmp_path / "hist_plain"))
+    for st in (store, plain):
+        st.append(H.initial_history(fx.match(1), spec, "Q1", 1))
+        for v in (2, 3):
+            parts = st.buckets if st.bucketed else None
+            st.append(H.advance_delta(st.read(), fx.match(v), spec, f"Q{v}", v, partitions=parts))
+    assert store.next_version() == 3
+    a, b = store.read(), plain.read()
+    assert a.count() == 263 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        delta = H.advance_delta(store.read(), fx.match(3), spec, "Q3", 3, partitions=4)
+        lt = H.latest(store.read(), spec)
+        for df in (delta, lt):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            lines = plan.splitlines()
+            for i, line in enumerate(lines):
+                if "FileScan" in line and "idw_hist_bk" in line:
+                    # nothing between the bucketed scan and its consumer moves data
+                    above = "\n".join(lines[max(0, i - 4):i])
+                    assert "Exchange" not in above, above
+        assert "Exchange" not in lt._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
