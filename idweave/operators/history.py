@@ -141,7 +141,8 @@ def changed_records(match: DataFrame, history: DataFrame, spec: HistorySpec, qua
 
 
 def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
-                  created, meta: Mapping | None = None, partitions: int | None = None) -> DataFrame:
+                  created, meta: Mapping | None = None, partitions: int | None = None,
+                  compare_to: str = "all") -> DataFrame:
     """Rows one snapshot adds to the history: new persons, then changed
     respondents, with the same rows as the reference's new-then-changed
     sequence (changed rows deduplicated, see module notes).
@@ -163,6 +164,12 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     and every output row comes out of one projection (no union, so the
     snapshot and the history are each scanned once).
 
+    ``compare_to="latest"`` judges a change against the key's latest
+    recorded respondent only (newest ``created``, ties to the larger id),
+    so a person who returns to an earlier respondent (A -> B -> A) is
+    appended again and the latest view stays current; the default
+    ``"all"`` keeps the reference's behaviour.
+
     ``partitions``: when the history is a table bucketed by the person key
     into that many buckets, hash-partition the snapshot the same way; every
     join and aggregate then runs on the buckets and the history is not
@@ -179,8 +186,15 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     # recorded versions (map-side distinct) and one summary row per key
     versions = (history.where(spec.key_not_null(history))
                 .groupBy(*K, R).agg(F.min(spec.person).alias("_vpid")))
+    if compare_to not in ("all", "latest"):
+        raise ValueError("compare_to must be 'all' or 'latest'")
     summary = versions.groupBy(*K).agg(
         F.min("_vpid").alias("_pid"), F.count(R).alias("_n_resp"), F.lit(True).alias("_known"))
+    if compare_to == "latest":
+        newest = (history.where(spec.key_not_null(history)).groupBy(*K)
+                  .agg(F.max(F.struct(spec.created, R)).alias("_l"))
+                  .select(*K, F.col("_l")[R].alias("_latest_r")))
+        summary = summary.join(newest, K, "left")
 
     seen = versions.select(*K, R, F.lit(True).alias("_seen"))
     # one exchange on the key, shared by the survivor aggregate and the
@@ -196,8 +210,11 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     r, sr = F.col(R), F.col("_sr")
     is_new = F.col("_fresh") & r.eqNullSafe(sr)
     changed_new = F.col("_fresh") & r.isNotNull() & sr.isNotNull() & (r != sr)
-    changed_old = (F.col("_known") & r.isNotNull() & (F.col("_n_resp") > 0)
-                   & F.col("_seen").isNull())
+    if compare_to == "latest":
+        changed_old = F.col("_known") & r.isNotNull() & (r != F.col("_latest_r"))
+    else:
+        changed_old = (F.col("_known") & r.isNotNull() & (F.col("_n_resp") > 0)
+                       & F.col("_seen").isNull())
     keep = F.coalesce(is_new | changed_new | changed_old, F.lit(False))
     pid = F.when(F.col("_known"), F.col("_pid")).otherwise(spec.new_id())
     rows = _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid)
@@ -209,9 +226,10 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
 
 
 def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
-            created, meta: Mapping | None = None, partitions: int | None = None) -> DataFrame:
+            created, meta: Mapping | None = None, partitions: int | None = None,
+            compare_to: str = "all") -> DataFrame:
     """History after one snapshot (append only)."""
-    delta = advance_delta(history, match, spec, quarter, created, meta, partitions)
+    delta = advance_delta(history, match, spec, quarter, created, meta, partitions, compare_to)
     return history.unionByName(delta.select(*history.columns))
 
 

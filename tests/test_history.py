@@ -133,3 +133,25 @@ def test_dedup_by_key_is_deterministic(spark):
     df = snap(spark, [("B", "h", "1", 2.0), ("A", "h", "1", 3.0), (None, "h", "1", 1.0)])
     out = H.dedup_by_key(df, ["B_HHID", "B_INDID"], ["RESP_ID", "W"]).collect()
     assert [(r.RESP_ID, r.W) for r in out] == [(None, 1.0)]   # nulls sort first
+
+
+def test_compare_to_latest_reappends_reversions(spark):
+    h1 = H.initial_history(snap(spark, [("A", "h", "1", 1.0), ("A", "k", "1", 1.0)]), SPEC, "Q1", 1)
+    h2 = H.advance(h1, snap(spark, [("B", "h", "1", 1.0), ("A", "k", "1", 1.0)]), SPEC, "Q2", 2,
+                   compare_to="latest")
+    h3 = H.advance(h2, snap(spark, [("A", "h", "1", 1.0), ("A", "k", "1", 1.0)]), SPEC, "Q3", 3,
+                   compare_to="latest")
+    assert sorted((r.RESP_ID, r.B_HHID, r.CREATED) for r in h3.collect()) == \
+        [("A", "h", 1), ("A", "h", 3), ("A", "k", 1), ("B", "h", 2)]
+    assert H.stale_latest(h3, snap(spark, [("A", "h", "1", 1.0)]), SPEC).count() == 0
+    assert len({r.PERSON_ID for r in h3.where("B_HHID = 'h'").collect()}) == 1
+
+
+def test_compare_to_latest_on_fixtures_leaves_nothing_stale(spark):
+    fx = Fixtures(spark, SF_SMALL)
+    h = H.initial_history(fx.match(1), SPEC, "Q1", 1)
+    for v in (2, 3):
+        h = H.advance(h, fx.match(v), SPEC, f"Q{v}", v, compare_to="latest")
+        h = spark.createDataFrame(h.collect(), h.schema)
+    assert H.stale_latest(h, fx.match(3), SPEC).count() == 0
+    assert H.latest(h, SPEC).count() == 149
