@@ -58,6 +58,24 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: start with enough shuffle partitions
+    that each holds ~``target_partition_bytes`` of the largest input (at
+    least 2x the cores), and let AQE coalesce small ones and split skewed
+    ones. E.g. a 30 TiB history on 8000 cores -> 122880 partitions of
+    ~256 MB, each of which fits an executor task without spilling."""
+    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    mb = target_partition_bytes // (1024 * 1024)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * mb}m",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    }
+
+
 def get_session(
     app: str = "idweave",
     master: str | None = None,
