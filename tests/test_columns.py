@@ -23,12 +23,12 @@ def test_repeated_token_repair(spark):
     assert has_repeated_token("MA1693_MA1693")
     assert has_repeated_token("X___Y")         # empty tokens repeat too
     assert not has_repeated_token("X__Y")
-    assert not has_repeated_token("TU_Extern_ID")
+    assert not has_repeated_token("B_Extern_ID")
     assert repaired_name("MA1693_x_MA1693") == "MA1693"
     assert repaired_name("plain") == "plain"
-    df = spark.createDataFrame([(1, 2, 3)], "MA1_MA1 int, IN1_MRI_ID int, `K__` int")
-    out = repair_columns(df, {"IN1_MRI_ID": "MRI_ID"})
-    assert out.columns == ["MA1", "MRI_ID", "K"]
+    df = spark.createDataFrame([(1, 2, 3)], "MA1_MA1 int, IN1_RESP_ID int, `K__` int")
+    out = repair_columns(df, {"IN1_RESP_ID": "RESP_ID"})
+    assert out.columns == ["MA1", "RESP_ID", "K"]
     dup = spark.createDataFrame([(1, 2)], "MA1_MA1 int, MA1 int")
     with pytest.raises(ColumnCollision):
         repair_columns(dup)

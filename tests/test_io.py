@@ -114,10 +114,10 @@ def test_ingest_catalog_and_sql_functions(spark, tmp_path):
     from idweave.sources.catalog import publish_views, save_table
     from idweave.sources.ingest import SourceSpec, ingest
     p = tmp_path / "pop.txt"
-    p.write_text("MA1_MA1|IN1_MRI_ID|tu_extern_id\nx|R1|7\n")
-    df = ingest(spark, SourceSpec(str(p), fmt="pipe", repair=True, overrides={"IN1_MRI_ID": "MRI_ID"},
+    p.write_text("MA1_MA1|IN1_RESP_ID|b_extern_id\nx|R1|7\n")
+    df = ingest(spark, SourceSpec(str(p), fmt="pipe", repair=True, overrides={"IN1_RESP_ID": "RESP_ID"},
                                   upcase=True))
-    assert df.columns == ["MA1", "MRI_ID", "TU_EXTERN_ID"]
+    assert df.columns == ["MA1", "RESP_ID", "B_EXTERN_ID"]
     register_sql_functions(spark)
     r = spark.sql("select pair_part('10_2', 1) a, pair_part_or_blank('7', 1) b, "
                   "person_key_id('T1', '1') = md5('T1|1') c").collect()[0]
