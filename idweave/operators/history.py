@@ -63,7 +63,8 @@ class HistorySpec:
 
 
 def _stamp(df: DataFrame, spec: HistorySpec, payload: Sequence[str], quarter: str,
-           created, meta: Mapping | None, pid: Column | None = None) -> DataFrame:
+           created, meta: Mapping | None, pid: Column | None = None,
+           extra: Sequence[Column] = ()) -> DataFrame:
     return df.select(
         F.col(spec.resp), *[F.col(k) for k in spec.keys],
         (pid if pid is not None else spec.new_id()).alias(spec.person),
@@ -71,6 +72,7 @@ def _stamp(df: DataFrame, spec: HistorySpec, payload: Sequence[str], quarter: st
         F.lit(quarter).cast("string").alias(spec.quarter),
         F.lit(created).alias(spec.created),
         meta_literal(meta).alias(spec.meta),
+        *extra,
     )
 
 
@@ -119,30 +121,34 @@ def new_records(match: DataFrame, history: DataFrame, spec: HistorySpec, quarter
 
 def changed_records(match: DataFrame, history: DataFrame, spec: HistorySpec, quarter: str,
                     created, meta: Mapping | None = None, dedupe: bool = True) -> DataFrame:
-    """Reference form of the changed-record step, kept as a readable
-    specification and for the fan-out audit: join every history version
-    of the key whose respondent differs, keep the history id, then drop
-    (key, respondent) pairs already recorded.
-
-    ``dedupe=False`` reproduces the reference's duplicates (one row per
-    differing version). ``advance_delta`` computes the same rows without
-    the fan-out and should be used for production runs."""
+    """Changed-record step: snapshot rows of a known person whose
+    respondent is not yet recorded for that person (some recorded version
+    differs), keeping the history's person id.
+
+    ``dedupe=True``: one row per (key, respondent) — the CHANGED part of
+    ``advance_delta``. ``dedupe=False`` reproduces the reference's output
+    multiplicity (one copy per differing history row of the person, and
+    per duplicate snapshot row) without joining the versions pairwise:
+    each changed snapshot row is repeated by a per-key count, so the work
+    is linear in the output even for a hot key."""
+    if dedupe:
+        d = advance_delta(history, match, spec, quarter, created, meta, with_kind=True)
+        return d.where(F.col("KIND") == "changed").drop("KIND")
+    K, R = list(spec.keys), spec.resp
     payload = spec.payload(match)
-    a, b = match.alias("a"), history.alias("b")
-    on_key = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in spec.keys]
-    differ = reduce(lambda x, y: x & y, on_key) & (F.col(f"a.{spec.resp}") != F.col(f"b.{spec.resp}"))
-    joined = a.join(b, differ, "inner").select(
-        F.col(f"a.{spec.resp}").alias(spec.resp), *[F.col(f"a.{k}").alias(k) for k in spec.keys],
-        F.col(f"b.{spec.person}").alias("_pid"), *[F.col(f"a.{c}").alias(c) for c in payload])
-    seen = history.select(*spec.keys, spec.resp)
-    joined = joined.join(seen, [*spec.keys, spec.resp], "left_anti")
-    out = _stamp(joined, spec, payload, quarter, created, meta, pid=F.col("_pid"))
-    return out.distinct() if dedupe else out
+    h = history.where(spec.key_not_null(history))
+    per_key = (h.where(F.col(R).isNotNull()).groupBy(*K)
+               .agg(F.count(F.lit(1)).alias("_n"), F.min(spec.person).alias("_pid")))
+    recorded = h.select(*K, R).distinct()
+    cand = (match.where(spec.key_not_null(match) & F.col(R).isNotNull())
+            .join(per_key, K, "inner").join(recorded, [*K, R], "left_anti"))
+    rep = cand.select("*", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_i"))
+    return _stamp(rep, spec, payload, quarter, created, meta, pid=F.col("_pid"))
 
 
 def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
                   created, meta: Mapping | None = None, partitions: int | None = None,
-                  compare_to: str = "all") -> DataFrame:
+                  compare_to: str = "all", with_kind: bool = False) -> DataFrame:
     """Rows one snapshot adds to the history: new persons, then changed
     respondents, with the same rows as the reference's new-then-changed
     sequence (changed rows deduplicated, see module notes).
@@ -170,6 +176,8 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     appended again and the latest view stays current; the default
     ``"all"`` keeps the reference's behaviour.
 
+    ``with_kind`` adds ``KIND`` ('new' / 'changed') to every row.
+
     ``partitions``: when the history is a table bucketed by the person key
     into that many buckets, hash-partition the snapshot the same way; every
     join and aggregate then runs on the buckets and the history is not
@@ -217,12 +225,15 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
                        & F.col("_seen").isNull())
     keep = F.coalesce(is_new | changed_new | changed_old, F.lit(False))
     pid = F.when(F.col("_known"), F.col("_pid")).otherwise(spec.new_id())
-    rows = _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid)
+    kind = [F.when(F.coalesce(is_new, F.lit(False)), "new").otherwise("changed").alias("KIND")]
+    rows = _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid,
+                  extra=kind if with_kind else ())
 
     # keys with a null part never equal a recorded key: one new row per
     # null pattern, never a change (read with a pushed-down IS NULL filter)
-    null_keys = _min_row(match.where(~has_key), K, [R, *payload])
-    return rows.unionByName(_stamp(null_keys, spec, payload, quarter, created, meta))
+    null_keys = _stamp(_min_row(match.where(~has_key), K, [R, *payload]), spec, payload,
+                       quarter, created, meta, extra=[F.lit("new").alias("KIND")] if with_kind else ())
+    return rows.unionByName(null_keys)
 
 
 def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,

@@ -19,10 +19,24 @@ def snap(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def reference_changed(match, hist, v):
+    """The reference's changed step written out literally (tests only, tiny
+    data): join every history row of the key whose respondent differs,
+    keep its id, drop (key, respondent) already recorded, distinct."""
+    a, b = match.alias("a"), hist.alias("b")
+    cond = (F.col("a.B_HHID") == F.col("b.B_HHID")) & (F.col("a.B_INDID") == F.col("b.B_INDID")) \
+        & (F.col("a.RESP_ID") != F.col("b.RESP_ID"))
+    j = a.join(b, cond).select("a.RESP_ID", "a.B_HHID", "a.B_INDID", "b.PERSON_ID", "a.W")
+    j = j.join(hist.select("B_HHID", "B_INDID", "RESP_ID"), ["B_HHID", "B_INDID", "RESP_ID"], "left_anti")
+    return j.select("RESP_ID", "B_HHID", "B_INDID", "PERSON_ID", "W",
+                    F.lit(f"Q{v}").alias("QUARTER_CREATED"), F.lit(v).alias("CREATED"),
+                    F.lit("{}").alias("META")).distinct()
+
+
 def reference_delta(hist, match, v):
     """New then changed, as the reference runs them (changed deduplicated)."""
     new = H.new_records(match, hist, SPEC, f"Q{v}", v)
-    chg = H.changed_records(match, hist.unionByName(new), SPEC, f"Q{v}", v)
+    chg = reference_changed(match, hist.unionByName(new), v)
     return new.unionByName(chg)
 
 
@@ -72,6 +86,18 @@ def test_null_keys_and_null_respondents(spark):
     assert H.latest(h1.unionByName(delta), SPEC).where(F.col("B_INDID").isNull()).count() == 0
 
 
+def test_changed_fanout_matches_reference_multiplicity(spark):
+    h = snap(spark, [("A", "h", "1", 1.0), ("B", "h", "1", 1.0), ("A", "k", "1", 1.0)])
+    hist = H.initial_history(h, SPEC, "Q1", 1)
+    m = snap(spark, [("C", "h", "1", 2.0), ("A", "h", "1", 2.0), ("C", "k", "1", 3.0)])
+    fan = H.changed_records(m, hist, SPEC, "Q2", 2, dedupe=False)
+    ref = reference_changed(m, hist, 2)   # distinct form
+    # C for h differs from two recorded rows (A, B): two copies; C for k: one
+    assert sorted((r.RESP_ID, r.B_HHID) for r in fan.collect()) == [("C", "h"), ("C", "h"), ("C", "k")]
+    assert as_set(fan.distinct()) == as_set(ref)
+    assert as_set(H.changed_records(m, hist, SPEC, "Q2", 2)) == as_set(ref)
+
+
 def test_latest_keeps_ties(spark):
     h = H.initial_history(snap(spark, [("A", "h", "1", 1.0), ("B", "h", "1", 2.0)]), SPEC, "Q1", 1)
     assert H.latest(h, SPEC).count() == 2
