@@ -205,9 +205,7 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
         summary = summary.join(newest, K, "left")
 
     seen = versions.select(*K, R, F.lit(True).alias("_seen"))
-    # one exchange on the key, shared by the survivor aggregate and the
-    # join back below
-    j = snap.join(seen, [*K, R], "left").join(summary, K, "left").repartition(*K)
+    j = snap.join(seen, [*K, R], "left").join(summary, K, "left")
 
     # survivor (smallest respondent, then payload) of every new key
     surv = (j.where(F.col("_known").isNull()).groupBy(*K)
@@ -289,8 +287,11 @@ def stale_latest(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) ->
 def confirmed_by(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,
                  prefix: str = "SNAPSHOT_") -> DataFrame:
     """History rows whose (key, respondent) version appears in ``snapshot``,
-    with the snapshot's payload columns (prefixed). At most one history row
-    per version and snapshot row, so the join cannot multiply a group."""
+    with the snapshot's payload columns (prefixed). The snapshot is reduced
+    to one row per (key, respondent) first (smallest payload), so the join
+    never multiplies a group: at most one output row per history row."""
     K = [*spec.keys, spec.resp]
-    s = snapshot.select(*K, *[F.col(c).alias(prefix + c) for c in spec.payload(snapshot)])
+    payload = spec.payload(snapshot)
+    s = _min_row(snapshot, K, payload)
+    s = s.select(*K, *[F.col(c).alias(prefix + c) for c in payload])
     return history.join(s, K, "inner").select(*history.columns, *[c for c in s.columns if c not in K])
