@@ -148,7 +148,8 @@ def changed_records(match: DataFrame, history: DataFrame, spec: HistorySpec, qua
 
 def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
                   created, meta: Mapping | None = None, partitions: int | None = None,
-                  compare_to: str = "all", with_kind: bool = False) -> DataFrame:
+                  compare_to: str = "all", with_kind: bool = False,
+                  hot_rows: int | None = None) -> DataFrame:
     """Rows one snapshot adds to the history: new persons, then changed
     respondents, with the same rows as the reference's new-then-changed
     sequence (changed rows deduplicated, see module notes).
@@ -178,6 +179,12 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
 
     ``with_kind`` adds ``KIND`` ('new' / 'changed') to every row.
 
+    ``hot_rows`` (default ``HOT_ROWS``): snapshot keys with more rows than
+    this are classified in a separate branch where the per-key summary and
+    survivor rows are broadcast (at most rows / hot_rows keys), so a hot key
+    is never gathered into one task by a key shuffle; the (key, respondent)
+    joins spread its rows by respondent. ``hot_rows=0`` disables the split.
+
     ``partitions``: when the history is a table bucketed by the person key
     into that many buckets, hash-partition the snapshot the same way; every
     join and aggregate then runs on the buckets and the history is not
@@ -186,16 +193,13 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     K, R = list(spec.keys), spec.resp
     payload = spec.payload(match)
     has_key = spec.key_not_null(match)
-    if partitions:
-        match = match.repartition(partitions, *K)
+    if compare_to not in ("all", "latest"):
+        raise ValueError("compare_to must be 'all' or 'latest'")
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
 
-    # snapshot versions: one row per (key, respondent), smallest payload
-    snap = _min_row(match.where(has_key), [*K, R], payload)
     # recorded versions (map-side distinct) and one summary row per key
     versions = (history.where(spec.key_not_null(history))
                 .groupBy(*K, R).agg(F.min(spec.person).alias("_vpid")))
-    if compare_to not in ("all", "latest"):
-        raise ValueError("compare_to must be 'all' or 'latest'")
     summary = versions.groupBy(*K).agg(
         F.min("_vpid").alias("_pid"), F.count(R).alias("_n_resp"), F.lit(True).alias("_known"))
     if compare_to == "latest":
@@ -204,34 +208,55 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
                   .select(*K, F.col("_l")[R].alias("_latest_r")))
         summary = summary.join(newest, K, "left")
 
-    seen = versions.select(*K, R, F.lit(True).alias("_seen"))
-    j = snap.join(seen, [*K, R], "left").join(summary, K, "left")
-
-    # survivor (smallest respondent, then payload) of every new key
-    surv = (j.where(F.col("_known").isNull()).groupBy(*K)
-            .agg(F.min(F.struct(R, *payload)).alias("_s"))
-            .select(*K, F.col("_s")[R].alias("_sr"), F.lit(True).alias("_fresh")))
-    t = j.join(surv, K, "left")
-
-    r, sr = F.col(R), F.col("_sr")
-    is_new = F.col("_fresh") & r.eqNullSafe(sr)
-    changed_new = F.col("_fresh") & r.isNotNull() & sr.isNotNull() & (r != sr)
-    if compare_to == "latest":
-        changed_old = F.col("_known") & r.isNotNull() & (r != F.col("_latest_r"))
+    def classify(rows: DataFrame, summ: DataFrame, vers: DataFrame, parts: int | None,
+                 small_keys: bool) -> DataFrame:
+        if parts:
+            rows = rows.repartition(parts, *K)
+        # snapshot versions: one row per (key, respondent), smallest payload
+        snap = _min_row(rows, [*K, R], payload)
+        seen = vers.select(*K, R, F.lit(True).alias("_seen"))
+        j = snap.join(seen, [*K, R], "left").join(F.broadcast(summ) if small_keys else summ, K, "left")
+        # survivor (smallest respondent, then payload) of every new key
+        surv = (j.where(F.col("_known").isNull()).groupBy(*K)
+                .agg(F.min(F.struct(R, *payload)).alias("_s"))
+                .select(*K, F.col("_s")[R].alias("_sr"), F.lit(True).alias("_fresh")))
+        t = j.join(F.broadcast(surv) if small_keys else surv, K, "left")
+        r, sr = F.col(R), F.col("_sr")
+        is_new = F.col("_fresh") & r.eqNullSafe(sr)
+        changed_new = F.col("_fresh") & r.isNotNull() & sr.isNotNull() & (r != sr)
+        if compare_to == "latest":
+            changed_old = F.col("_known") & r.isNotNull() & (r != F.col("_latest_r"))
+        else:
+            changed_old = (F.col("_known") & r.isNotNull() & (F.col("_n_resp") > 0)
+                           & F.col("_seen").isNull())
+        keep = F.coalesce(is_new | changed_new | changed_old, F.lit(False))
+        pid = F.when(F.col("_known"), F.col("_pid")).otherwise(spec.new_id())
+        kind = [F.when(F.coalesce(is_new, F.lit(False)), "new").otherwise("changed").alias("KIND")]
+        return _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid,
+                      extra=kind if with_kind else ())
+
+    keyed = match.where(has_key)
+    hot = None
+    if hot_rows:
+        # keys with more than hot_rows snapshot rows (map-side counted); the
+        # split is only planned when there is one, so the usual plan stays
+        # a single branch
+        counts = keyed.groupBy(*K).agg(F.count(F.lit(1)).alias("_n"))
+        hot = counts.where(F.col("_n") > hot_rows).select(*K)
+        hot = F.broadcast(hot) if hot.limit(1).count() else None
+    if hot is not None:
+        out = classify(keyed.join(hot, K, "left_anti"), summary, versions, partitions, False)
+        out = out.unionByName(classify(keyed.join(hot, K, "left_semi"),
+                                       summary.join(hot, K, "left_semi"),
+                                       versions.join(hot, K, "left_semi"), None, True))
     else:
-        changed_old = (F.col("_known") & r.isNotNull() & (F.col("_n_resp") > 0)
-                       & F.col("_seen").isNull())
-    keep = F.coalesce(is_new | changed_new | changed_old, F.lit(False))
-    pid = F.when(F.col("_known"), F.col("_pid")).otherwise(spec.new_id())
-    kind = [F.when(F.coalesce(is_new, F.lit(False)), "new").otherwise("changed").alias("KIND")]
-    rows = _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid,
-                  extra=kind if with_kind else ())
+        out = classify(keyed, summary, versions, partitions, False)
 
     # keys with a null part never equal a recorded key: one new row per
     # null pattern, never a change (read with a pushed-down IS NULL filter)
     null_keys = _stamp(_min_row(match.where(~has_key), K, [R, *payload]), spec, payload,
                        quarter, created, meta, extra=[F.lit("new").alias("KIND")] if with_kind else ())
-    return rows.unionByName(null_keys)
+    return out.unionByName(null_keys)
 
 
 def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
@@ -242,21 +267,39 @@ def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: st
     return history.unionByName(delta.select(*history.columns))
 
 
-def latest(history: DataFrame, spec: HistorySpec) -> DataFrame:
+# A person key with more rows than this is "hot": it is joined against a
+# broadcast of its per-key row instead of through a shuffle, so its rows stay
+# spread over the tasks that read them. The broadcast holds at most
+# rows / HOT_ROWS keys (each hot key has more than HOT_ROWS rows).
+HOT_ROWS = 1_000_000
+
+
+def latest(history: DataFrame, spec: HistorySpec, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Per person key, the rows with the newest ``created`` (ties kept).
 
     Rows with a null key part or null ``created`` are dropped, as the
     reference's correlated ``IN (max ...)`` does. Computed as a partial
-    max per key plus a semi join (``created >= max`` is the same as
-    ``=`` there and keeps the join keyed on the person key only), so a hot
-    key is reduced map-side and split by AQE instead of being buffered in
-    one window task."""
+    max per key plus a semi join (``created >= max`` is the same as ``=``
+    there and keeps the join keyed on the person key only): no window, so
+    no group is buffered in one task. Keys with more than ``hot_rows``
+    rows (blank placeholder keys accumulate every quarter) are matched
+    against a broadcast of their maxima instead of a shuffle; their rows
+    never meet in one task."""
     K, T = list(spec.keys), spec.created
     h = history.where(spec.key_not_null(history))
-    mx = h.groupBy(*K).agg(F.max(T).alias("_mx"))
-    mx = mx.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(K)], "_mx")
-    cond = [h[k] == mx[f"_k{i}"] for i, k in enumerate(K)] + [h[T] >= mx["_mx"]]
-    return h.join(mx, reduce(lambda a, b: a & b, cond), "left_semi")
+    mx = h.groupBy(*K).agg(F.max(T).alias("_mx"), F.count(F.lit(1)).alias("_n"))
+    mx = mx.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(K)], "_mx", "_n")
+
+    def newest(rows: DataFrame, maxima: DataFrame) -> DataFrame:
+        cond = [rows[k] == maxima[f"_k{i}"] for i, k in enumerate(K)] + [rows[T] >= maxima["_mx"]]
+        return rows.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
+
+    if hot_rows is None:
+        return newest(h, mx)
+    hot = F.broadcast(mx.where(F.col("_n") > hot_rows))
+    on_hot = reduce(lambda a, b: a & b, [h[k] == hot[f"_k{i}"] for i, k in enumerate(K)])
+    cold_rows = h.join(hot, on_hot, "left_anti")
+    return newest(cold_rows, mx.where(F.col("_n") <= hot_rows)).unionByName(newest(h, hot))
 
 
 def members_of(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,

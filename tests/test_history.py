@@ -19,6 +19,12 @@ def snap(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def adv(hist, match, v, **kw):
+    """One advance, persisted: as in the pipeline, each history version is
+    computed once (an unshared chain of advances grows exponentially)."""
+    return H.advance(hist, match, SPEC, f"Q{v}", v, **kw).persist()
+
+
 def reference_changed(match, hist, v):
     """The reference's changed step written out literally (tests only, tiny
     data): join every history row of the key whose respondent differs,
@@ -47,8 +53,8 @@ def as_set(df):
 
 def test_reversion_is_not_reappended(spark):
     h1 = H.initial_history(snap(spark, [("A", "h", "1", 1.0)]), SPEC, "Q1", 1)
-    h2 = H.advance(h1, snap(spark, [("B", "h", "1", 1.0)]), SPEC, "Q2", 2)
-    h3 = H.advance(h2, snap(spark, [("A", "h", "1", 1.0)]), SPEC, "Q3", 3)
+    h2 = adv(h1, snap(spark, [("B", "h", "1", 1.0)]), 2)
+    h3 = adv(h2, snap(spark, [("A", "h", "1", 1.0)]), 3)
     assert h3.count() == 2                       # A -> B -> A adds nothing at v3
     assert [r.RESP_ID for r in H.latest(h3, SPEC).collect()] == ["B"]
     assert H.stale_latest(h3, snap(spark, [("A", "h", "1", 1.0)]), SPEC).count() == 1
@@ -122,6 +128,9 @@ def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed):
         one = H.advance_delta(hist, m, SPEC, f"Q{v}", v)
         ref = reference_delta(hist, m, v)
         assert as_set(one) == as_set(ref)
+        # hot-key branch: h0 (and anything with > 2 rows) takes the broadcast path
+        assert as_set(H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=2)) == as_set(ref)
+        assert as_set(H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=0)) == as_set(ref)
         # tiny test data: rebuild from rows to keep the test plans small
         nxt = hist.unionByName(one)
         hist = spark.createDataFrame(nxt.collect(), nxt.schema)
@@ -130,8 +139,8 @@ def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed):
 def test_fixture_history_counts_and_invariants(spark):
     fx = Fixtures(spark, SF_SMALL)
     h1 = H.initial_history(fx.match(1), SPEC, "Q1", 1)
-    h2 = H.advance(h1, fx.match(2), SPEC, "Q2", 2)
-    h3 = H.advance(h2, fx.match(3), SPEC, "Q3", 3)
+    h2 = adv(h1, fx.match(2), 2)
+    h3 = adv(h2, fx.match(3), 3)
     assert (h1.count(), h2.count(), h3.count()) == (118, 205, 263)
     assert H.latest(h3, SPEC).count() == 149
     assert H.members_of(h3, fx.match(2), SPEC).count() == 221
@@ -163,10 +172,8 @@ def test_dedup_by_key_is_deterministic(spark):
 
 def test_compare_to_latest_reappends_reversions(spark):
     h1 = H.initial_history(snap(spark, [("A", "h", "1", 1.0), ("A", "k", "1", 1.0)]), SPEC, "Q1", 1)
-    h2 = H.advance(h1, snap(spark, [("B", "h", "1", 1.0), ("A", "k", "1", 1.0)]), SPEC, "Q2", 2,
-                   compare_to="latest")
-    h3 = H.advance(h2, snap(spark, [("A", "h", "1", 1.0), ("A", "k", "1", 1.0)]), SPEC, "Q3", 3,
-                   compare_to="latest")
+    h2 = adv(h1, snap(spark, [("B", "h", "1", 1.0), ("A", "k", "1", 1.0)]), 2, compare_to="latest")
+    h3 = adv(h2, snap(spark, [("A", "h", "1", 1.0), ("A", "k", "1", 1.0)]), 3, compare_to="latest")
     assert sorted((r.RESP_ID, r.B_HHID, r.CREATED) for r in h3.collect()) == \
         [("A", "h", 1), ("A", "h", 3), ("A", "k", 1), ("B", "h", 2)]
     assert H.stale_latest(h3, snap(spark, [("A", "h", "1", 1.0)]), SPEC).count() == 0
@@ -181,3 +188,17 @@ def test_compare_to_latest_on_fixtures_leaves_nothing_stale(spark):
         h = spark.createDataFrame(h.collect(), h.schema)
     assert H.stale_latest(h, fx.match(3), SPEC).count() == 0
     assert H.latest(h, SPEC).count() == 149
+
+
+def test_latest_hot_key_path_matches(spark):
+    rows = [("R%d" % i, "HOT", "1", float(i)) for i in range(40)] + \
+           [("A", "h", "1", 1.0), ("B", "k", "1", 2.0)]
+    h1 = H.initial_history(snap(spark, rows), SPEC, "Q1", 1)
+    h2 = H.initial_history(snap(spark, [("R99", "HOT", "1", 9.0), ("C", "h", "1", 3.0)]), SPEC, "Q2", 2)
+    h = h1.unionByName(h2)
+    base = H.latest(h, SPEC, hot_rows=None)
+    split = H.latest(h, SPEC, hot_rows=5)          # HOT (41 rows) takes the broadcast path
+    assert as_set(split) == as_set(base)
+    assert sorted((r.RESP_ID, r.B_HHID) for r in split.collect()) == [("B", "k"), ("C", "h"), ("R99", "HOT")]
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan

