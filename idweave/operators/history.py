@@ -237,7 +237,7 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
 
     keyed = match.where(has_key)
     hot = None
-    if hot_rows:
+    if hot_rows and _may_hold_hot_keys(keyed, hot_rows):
         # keys with more than hot_rows snapshot rows (map-side counted); the
         # split is only planned when there is one, so the usual plan stays
         # a single branch
@@ -274,6 +274,24 @@ def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: st
 HOT_ROWS = 1_000_000
 
 
+# Inputs whose estimated size is below this cannot put a harmful amount of
+# data into one task even if every row had the same key, so they skip the
+# hot-key detection (a planning shortcut; results are the same either way).
+SKEW_CHECK_BYTES = 32 * 1024 * 1024
+
+
+def _may_hold_hot_keys(df: DataFrame, hot_rows: int) -> bool:
+    """False when ``df`` is too small to matter: estimated size (optimizer
+    statistics, no job) under SKEW_CHECK_BYTES, or - where statistics are
+    unavailable - at most ``hot_rows`` rows (reads at most hot_rows + 1)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        size = size if isinstance(size, int) else int(size.toString())
+    except Exception:  # no JVM handle (e.g. a remote session)
+        return df.limit(hot_rows + 1).count() > hot_rows
+    return size > SKEW_CHECK_BYTES
+
+
 def latest(history: DataFrame, spec: HistorySpec, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Per person key, the rows with the newest ``created`` (ties kept).
 
@@ -294,7 +312,7 @@ def latest(history: DataFrame, spec: HistorySpec, hot_rows: int | None = HOT_ROW
         cond = [rows[k] == maxima[f"_k{i}"] for i, k in enumerate(K)] + [rows[T] >= maxima["_mx"]]
         return rows.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
 
-    if hot_rows is None:
+    if not hot_rows or not _may_hold_hot_keys(h, hot_rows):
         return newest(h, mx)
     hot = F.broadcast(mx.where(F.col("_n") > hot_rows))
     on_hot = reduce(lambda a, b: a & b, [h[k] == hot[f"_k{i}"] for i, k in enumerate(K)])
