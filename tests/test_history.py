@@ -110,7 +110,8 @@ def test_latest_keeps_ties(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed):
+def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed, monkeypatch):
+    monkeypatch.setattr(H, "SKEW_CHECK_BYTES", -1)   # always run the hot-key detection
     rnd = random.Random(seed)
 
     def gen(n):
@@ -128,8 +129,10 @@ def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed):
         one = H.advance_delta(hist, m, SPEC, f"Q{v}", v)
         ref = reference_delta(hist, m, v)
         assert as_set(one) == as_set(ref)
-        # hot-key branch: h0 (and anything with > 2 rows) takes the broadcast path
-        assert as_set(H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=2)) == as_set(ref)
+        # hot-key branch: every key with more than one row takes the broadcast path
+        split = H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=1)
+        assert "BroadcastExchange" in split._jdf.queryExecution().executedPlan().toString()
+        assert as_set(split) == as_set(ref)
         assert as_set(H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=0)) == as_set(ref)
         # tiny test data: rebuild from rows to keep the test plans small
         nxt = hist.unionByName(one)
@@ -190,7 +193,8 @@ def test_compare_to_latest_on_fixtures_leaves_nothing_stale(spark):
     assert H.latest(h, SPEC).count() == 149
 
 
-def test_latest_hot_key_path_matches(spark):
+def test_latest_hot_key_path_matches(spark, monkeypatch):
+    monkeypatch.setattr(H, "SKEW_CHECK_BYTES", -1)
     rows = [("R%d" % i, "HOT", "1", float(i)) for i in range(40)] + \
            [("A", "h", "1", 1.0), ("B", "k", "1", 2.0)]
     h1 = H.initial_history(snap(spark, rows), SPEC, "Q1", 1)
@@ -202,3 +206,6 @@ def test_latest_hot_key_path_matches(spark):
     assert sorted((r.RESP_ID, r.B_HHID) for r in split.collect()) == [("B", "k"), ("C", "h"), ("R99", "HOT")]
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    monkeypatch.setattr(H, "SKEW_CHECK_BYTES", 1 << 40)   # small input: plain plan
+    plain = H.latest(h, SPEC, hot_rows=5)._jdf.queryExecution().executedPlan().toString()
+    assert plain.count("LeftSemi") == 1 and "LeftAnti" not in plain
