@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from idweave.llm import mixing
+from idweave.llm import line_dedup, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,12 +20,24 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed",
+                      F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
     "op3_mixing": mixing.MIX_SQL.format(
         documents="documents",
         columns="doc_id, size, source_size, target, copies * size AS taken"),
+    "op8_line_dedup": line_dedup.LINE_SQL.format(
+        documents="documents",
+        columns="""o.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines,
+            coalesce(n_removed, 0)::BIGINT AS n_removed,
+            CASE WHEN o.text IS NOT NULL THEN md5(coalesce(kept, '')) END AS kept_md5"""),
 }
