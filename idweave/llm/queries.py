@@ -8,13 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import line_dedup, mixing
+from idweave.llm import line_dedup, minhash, mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -27,6 +32,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op3_mixing": op3_mixing,
     "op8_line_dedup": op8_line_dedup,
 }
