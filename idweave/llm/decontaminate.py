@@ -144,10 +144,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WOR
     schema = f"doc_id {kind}, th long, item_id {item_kind}, windows long"
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark, block_words):
-        held = spark.sparkContext.broadcast(block)
-
-        def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            test = held.value
+        # the task's function holds the block; Spark broadcasts large functions
+        def search(batches: Iterator[pd.DataFrame], test=block) -> Iterator[pd.DataFrame]:
             for batch in batches:
                 rows = []
                 for doc_id, th, text in zip(batch["doc_id"], batch["th"], batch["text"]):

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import decontaminate, line_dedup, minhash, mixing, substring_dedup
+from idweave.llm import decontaminate, line_dedup, minhash, mixing, quality, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     return plan.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,12 +45,20 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.scored(docs, model, F.col("source"), F.col("lang")).drop("th")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
+    "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {
