@@ -13,11 +13,15 @@
    the coordinates behind them are compared in the two signatures.
 3. Links: the candidates are compared on their full shingle sets.
 4. A list is first worked through as a star: every member against the
-   list's leader, and then members of one component are done with each
-   other. Stars are repeated with other leaders while the pairs that are
-   left keep falling; what is left then, pairs in one list that are still in
-   different components, is compared pair by pair. So a group of n near
-   copies costs n comparisons, not n * n, and no candidate pair is dropped.
+   member that shares the most of its signature, the likeliest original of
+   the list. Members of one component are done with each other, so a group of
+   n near copies costs about n comparisons, not n * n.
+5. What stars leave are pairs in one list and in different components. They
+   are compared one by one, except where counts prove that they cannot link:
+   of a class's n shingles only s occur anywhere else, so with a partner of
+   n' shingles it must hold that 7 * min(s, s') >= 3 * (n + n'). Lists are
+   joined on buckets of n and of the largest n' that s allows, so pairs
+   that fail this are not made. No candidate pair is dropped otherwise.
 
 Defined cases: null and empty texts have no shingles and link with nothing,
 each is a component of its own; a text of fewer than five words is one
@@ -44,8 +48,8 @@ WORDS = 5
 PERCENT = 75
 COORDS = 32
 MATCHES = 12
-#: Pairs left per posting at which stars give way to pairs.
-FEW = 4
+#: Ratio of the bounds of a length bucket.
+BUCKET = 1.1
 _SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (2, COORDS), dtype=np.uint64)
 _SEEDS[0] |= np.uint64(1)
 
@@ -84,17 +88,19 @@ def sign(docs: DataFrame) -> DataFrame:
 
 
 def postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(key, class_no): the prefixes of shared signature values."""
+    """(key, class_no, shared): the prefixes of shared signature values, and
+    how many of its values a class shares."""
     rows = classes.select("class_no", F.posexplode("sig").alias("at", "value")).select(
         "class_no", (F.col("at") * F.lit(1 << 32) + F.col("value")).alias("key"))
-    shared = scratch.save(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    mine = rows.join(shared, "key").groupBy("class_no").agg(
+    often = scratch.save(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    mine = rows.join(often, "key").groupBy("class_no").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("values"))
     posted = (mine.where(F.size("values") >= MATCHES)
-              .select("class_no", F.explode(F.slice("values", F.lit(1), F.size("values") - (MATCHES - 1))).alias("v"))
-              .select(F.col("v.key").alias("key"), "class_no"))
+              .select("class_no", F.size("values").alias("shared"),
+                      F.explode(F.slice("values", F.lit(1), F.size("values") - (MATCHES - 1))).alias("v"))
+              .select(F.col("v.key").alias("key"), "class_no", "shared"))
     out = scratch.save(posted)
-    scratch.drop(shared)
+    scratch.drop(often)
     return out
 
 
@@ -128,51 +134,64 @@ def confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scr
     return out
 
 
+def star_pairs(posted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b): the members of every list with the list's leader."""
+    leaders = scratch.save(
+        posted.groupBy("key").agg(F.min(F.struct(-F.col("shared"), F.col("class_no"))).alias("l"),
+                                  F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("key", F.col("l.class_no").alias("leader")))
+    return scratch.save(posted.join(leaders, "key").where("class_no <> leader").select(
+        F.least("class_no", "leader").alias("a"), F.greatest("class_no", "leader").alias("b")).distinct())
+
+
+def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for a in range(0, len(batch), 500):
+            part = batch.iloc[a:a + 500]
+            sets = [shingles(t) for t in part["text"]]
+            yield pd.DataFrame({"class_no": np.repeat(part["class_no"].to_numpy(), [len(s) for s in sets]),
+                                "shingle": np.concatenate(sets).view(np.int64)})
+
+
+def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: DataFrame,
+               scratch: Scratch) -> DataFrame:
+    """(a, b): pairs that share a list, are in different components and may
+    link by their counts."""
+    here = scratch.save(posted.join(known.withColumnRenamed("node", "class_no"), "class_no", "left").select(
+        "key", "class_no", F.coalesce("component", "class_no").alias("c")))
+    mixed_ = here.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
+    open_ = scratch.save(here.join(scratch.save(mixed_), "key"))
+    members = scratch.save(open_.select("class_no").distinct())
+    alone = (texts.join(members, "class_no").mapInPandas(_shingle_rows, "class_no long, shingle long")
+             .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class_no").alias("class_no"))
+             .where("n = 1").groupBy("class_no").agg(F.count(F.lit(1)).alias("alone")))
+    sized = (classes.select("class_no", F.col("n_shingles").alias("n")).join(members, "class_no")
+             .join(alone, "class_no", "left").withColumn("s", F.col("n") - F.coalesce("alone", F.lit(0)))
+             .withColumn("most", F.floor(F.col("s") * 7 / 3).cast("long") - F.col("n"))
+             .where("4 * most >= 3 * n").select("class_no", "n", "most"))
+    rows = open_.join(scratch.save(sized), "class_no")
+    bucket = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BUCKET)) + 1e-9).cast("int")
+    least, most = F.ceil(F.col("n") * 3 / 4), F.least("most", F.floor(F.col("n") * 4 / 3))
+    long = rows.withColumn("short", F.explode(F.sequence(bucket(least), bucket(F.least("most", "n"))))).select(
+        "key", "short", bucket(F.col("n")).alias("long"), F.col("class_no").alias("a"), F.col("c").alias("ca"),
+        F.col("n").alias("na"), F.col("most").alias("ma"))
+    short = rows.where("most >= n").withColumn("long", F.explode(F.sequence(bucket(F.col("n")), bucket(most)))).select(
+        "key", bucket(F.col("n")).alias("short"), "long", F.col("class_no").alias("b"), F.col("c").alias("cb"),
+        F.col("n").alias("nb"), F.col("most").alias("mb"))
+    met = (scratch.save(long).join(scratch.save(short), ["key", "short", "long"])
+           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)"))
+    return scratch.save(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def link_components(classes: DataFrame, posted: DataFrame, texts: DataFrame,
                     scratch: Scratch) -> DataFrame:
     """(node, component) of the classes that link with another."""
-    links = tried = known = None
-    left = None
-    for turn in range(1000):
-        if known is None:
-            here = posted.withColumn("c", F.col("class_no"))
-        else:
-            here = posted.join(known.withColumnRenamed("node", "class_no"), "class_no", "left").select(
-                "key", "class_no", F.coalesce("component", "class_no").alias("c"))
-        here = scratch.save(here)
-        cells = here.groupBy("key", "c").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        keys = scratch.save(cells.groupBy("key").agg(
-            F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-            .where("parts > 1"))
-        sums = keys.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2)).first()
-        members, pairs_left = sums[0] or 0.0, sums[1] or 0.0
-        last_turn = pairs_left <= FEW * members or (left is not None and pairs_left > left / 2 and turn > 2)
-        left = pairs_left
-        if not members:
-            break
-        open_ = here.join(keys.select("key"), "key")
-        if last_turn:
-            other = open_.select("key", F.col("class_no").alias("other"), F.col("c").alias("d"))
-            pairs = open_.join(other, "key").where("c <> d and class_no < other")
-        else:
-            rank = F.col("class_no") if turn == 0 else F.xxhash64("class_no", F.lit(turn))
-            leader = open_.groupBy("key").agg(F.min(F.struct(rank.alias("r"), F.col("class_no").alias("other"),
-                                                             F.col("c").alias("d"))).alias("l"))
-            leader = scratch.save(leader.select("key", "l.other", "l.d"))
-            pairs = open_.join(leader, "key").where("c <> d")
-        pairs = pairs.select(F.least("class_no", "other").alias("a"),
-                             F.greatest("class_no", "other").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = scratch.save(pairs)
-        found = confirm(pairs, classes, texts, scratch)
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        known = components(links, scratch)
-        scratch.drop(here, keys)
-        if last_turn:
-            break
-    return known
+    links = confirm(star_pairs(posted, scratch), classes, texts, scratch)
+    known = components(links, scratch)
+    rest = confirm(rest_pairs(posted, known, classes, texts, scratch), classes, texts, scratch)
+    if not rest.limit(1).count():
+        return known
+    return components(links.union(rest), scratch)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -181,7 +200,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = scratch.save(sign(docs))
     classes = scratch.save(
         signed.where("n_shingles > 0").groupBy("digest")
-        .agg(F.first("sig").alias("sig"), F.min("doc_id").alias("least_id"),
+        .agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"),
              F.min(F.struct("doc_id", "th")).alias("one"))
         .withColumn("class_no", F.monotonically_increasing_id()))
     posted = postings(classes, scratch)
@@ -194,11 +213,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = link_components(classes, posted, texts, scratch)
     scratch.drop(posted, texts)
     label = classes.select("class_no", "digest", "least_id")
-    if known is None:
-        label = label.withColumn("c", F.col("class_no"))
-    else:
-        label = label.join(known.withColumnRenamed("node", "class_no"), "class_no", "left").withColumn(
-            "c", F.coalesce("component", "class_no"))
+    label = label.join(known.withColumnRenamed("node", "class_no"), "class_no", "left").withColumn(
+        "c", F.coalesce("component", "class_no"))
     least = label.groupBy("c").agg(F.min("least_id").alias("component_id"))
     label = scratch.save(label.join(least, "c").select("digest", "component_id"))
     out = signed.join(label, "digest", "left").withColumn(

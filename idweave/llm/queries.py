@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import decontaminate, line_dedup, minhash, mixing, quality, substring_dedup, toxicity
+from idweave.llm import decontaminate, langid, line_dedup, minhash, mixing, quality, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    out = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
+    return out.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removals(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +61,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
+    "op5_langid": op5_langid,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
