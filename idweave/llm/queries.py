@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import decontaminate, langid, line_dedup, minhash, mixing, quality, substring_dedup, toxicity
+from idweave.llm import chat, decontaminate, langid, line_dedup, minhash, mixing, quality, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model, F.col("source"), F.col("lang")).drop("th")
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled turns are written down as transcripts in several styles,
+    and the transcripts parsed: a round trip."""
+    turns = _table(spark, sf_dir, "conversations")
+    model = chat.fit(turns)
+    found = chat.recover(chat.lines_of(chat.transcript(turns), part="turn"), model)
+    return found.select(F.col("conv").alias("conv_id"), "chunk", "at", "role",
+                        F.md5(chat.render(F.col("role"), F.col("text")).cast("binary")).alias("rendered_md5"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -66,9 +76,14 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
+    "op10_chat": op10_chat,
 }
 
 ORACLE: dict[str, str] = {
+    "op10_chat": f"""SELECT conv_id, floor(turn / {chat.PARTS})::BIGINT AS chunk,
+        (row_number() OVER (PARTITION BY conv_id, floor(turn / {chat.PARTS}) ORDER BY turn) - 1)::BIGINT AS at,
+        role, md5('<|' || role || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10)) AS rendered_md5
+        FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)""",
     "op3_mixing": mixing.MIX_SQL.format(
         documents="documents",
         columns="doc_id, size, source_size, target, copies * size AS taken"),
