@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import chat, decontaminate, langid, line_dedup, minhash, mixing, quality, substring_dedup, toxicity
+from idweave.llm import chat, decontaminate, langid, line_dedup, minhash, mixing, quality, substring_dedup, toxicity, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     out = langid.identify(docs.select("doc_id", "text"), langid.fit(docs))
@@ -71,6 +75,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
+    "op4_vectors": op4_vectors,
     "op5_langid": op5_langid,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_decontaminate": op7_decontaminate,
