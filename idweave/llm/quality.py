@@ -188,14 +188,27 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
              label: str = "quality") -> DataFrame:
     """``docs`` + ADDED."""
     model = fit(docs, labels, label)
-    out = scored(docs, model, host if host is not None else F.col("source"),
-                 path if path is not None else F.col("lang"))
-    # rows of one id and text differ in their site at most: one result each
-    out = out.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
-        *[F.min(c).alias(c) for c in ADDED])
+    out = _one_each(scored(docs, model, host if host is not None else F.col("source"),
+                           path if path is not None else F.col("lang")))
     names = [c for c in docs.columns if c not in ADDED]
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
     return docs.select(*names).join(out, same).select(*names, *ADDED)
 
 
+def accepted(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None,
+             label: str = "quality") -> DataFrame:
+    """``docs`` without the documents that the classifier rejects."""
+    out = _one_each(scored(docs, fit(docs, labels, label), host if host is not None else F.col("source"),
+                           path if path is not None else F.col("lang"))).where("accepted").select("_id", "_th")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
+    return docs.join(out, same, "left_semi")
+
+
+def _one_each(found: DataFrame) -> DataFrame:
+    """Rows of one id and text differ in their site at most: they get the
+    least result of them."""
+    return found.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+        *[F.min(c).alias(c) for c in ADDED])
+
+
 ship(__name__)
