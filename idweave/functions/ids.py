@@ -20,18 +20,26 @@ PAIR_SEP = "_"
 
 
 def person_id(*keys: ColumnLike, namespace: str | None = None) -> Column:
-    """``md5(k1 || '|' || k2 ...)``; null when any key part is null, so two
-    different keys can never collide through a skipped null."""
+    """``md5(k1 || '|' || k2 ...)`` with ``\\`` and ``|`` inside a part escaped by
+    ``\\``, so that no two keys give one string; null when any part is null
+    (``null_person_id`` has ids for those)."""
     parts: list[Column] = []
     if namespace:
         parts += [F.lit(namespace), F.lit(KEY_SEP)]
     for i, k in enumerate(keys):
         if i:
             parts.append(F.lit(KEY_SEP))
-        parts.append(as_col(k))
+        parts.append(F.regexp_replace(as_col(k).cast("string"), r"([\\|])", r"\\$1"))
     return F.md5(F.concat(*parts))
 
 
+def null_person_id(*keys: ColumnLike, namespace: str | None = None) -> Column:
+    """An id for a key with null parts: minted from which parts are null and
+    the others, apart from the ids of whole keys."""
+    given = [F.coalesce(F.concat(F.lit("="), as_col(k).cast("string")), F.lit("null")) for k in keys]
+    return person_id(*given, namespace=f"{namespace or ''}~")
+
+
 def pair_key(hhid: ColumnLike, indid: ColumnLike, sep: str = PAIR_SEP) -> Column:
     """``HHID || '_' || INDID`` (null if either side is null)."""
     return F.concat(as_col(hhid), F.lit(sep), as_col(indid))

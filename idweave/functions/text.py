@@ -29,10 +29,6 @@ def zero_pad(value: ColumnLike, width: int = 3, numeric: bool = False) -> Column
     )
 
 
-def zero_pad_for(df_col_type, value: ColumnLike, width: int = 3) -> Column:
-    return zero_pad(value, width, numeric=isinstance(df_col_type, NumericType))
-
-
 def non_blank(value: ColumnLike) -> Column:
     """``trim(x) != ''``: false for blanks, null (so filtered) for null."""
     return F.trim(as_col(value)) != F.lit("")

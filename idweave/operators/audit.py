@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from idweave.functions.ids import pair_key, split_part_or_blank
 from idweave.functions.text import non_blank
+from idweave.operators.joins import keyed_join
 
 
 def tagged_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -89,13 +90,13 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     aggregate and joined back with a semi join: no window over a group."""
     dup = duplicate_keys(df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])),
                          keys).select(*keys)
-    return df.join(dup, list(keys), "left_semi")
+    return keyed_join(df, dup, list(keys), how="left_semi")
 
 
 def missing_by_key(df: DataFrame, df_key: str, population: DataFrame, pop_key: str) -> DataFrame:
     """Rows of ``df`` whose ``df_key`` is not a key of ``population``."""
     ks = population.select(F.col(pop_key).alias("_k")).distinct()
-    return df.join(ks, df[df_key] == ks["_k"], "left_anti")
+    return keyed_join(df, ks, [df_key], ["_k"], "left_anti")
 
 
 def missing_regions(pairs: DataFrame, pop_new: DataFrame, pop_old: DataFrame,
@@ -107,7 +108,7 @@ def missing_regions(pairs: DataFrame, pop_new: DataFrame, pop_old: DataFrame,
     named = pairs.select(split_part_or_blank(F.col(pair_col), 0).alias(hh),
                          split_part_or_blank(F.col(pair_col), 1).alias(ind))
     gone = only_left(named, pop_new.select(*keys), list(keys))
-    return pop_old.join(gone, list(keys), "left_semi").select(state_col).distinct()
+    return keyed_join(pop_old, gone, list(keys), how="left_semi").select(state_col).distinct()
 
 
 def row_counts(relations: Mapping[str, DataFrame]) -> DataFrame:

@@ -43,14 +43,11 @@ def sanitise_columns(df: DataFrame) -> DataFrame:
     return rename_columns(df, {c: sanitise_name(c) for c in df.columns if sanitise_name(c) != c})
 
 
-def has_repeated_token(name: str, sep: str = "_") -> bool:
-    """True when a token of ``name`` split on ``sep`` occurs twice (empty
-    tokens, e.g. from '__', count too)."""
-    return any(n > 1 for n in Counter(name.split(sep)).values())
-
-
 def repaired_name(name: str, sep: str = "_") -> str:
-    return name.split(sep)[0] if sep in name and has_repeated_token(name, sep) else name
+    """The first token of a name in which some token (an empty one too)
+    occurs again; any other name as it is."""
+    tokens = name.split(sep)
+    return tokens[0] if len(set(tokens)) < len(tokens) else name
 
 
 def repair_columns(df: DataFrame, overrides: Mapping[str, str] | None = None,
@@ -60,13 +57,3 @@ def repair_columns(df: DataFrame, overrides: Mapping[str, str] | None = None,
     mapping = {c: repaired_name(c, sep) for c in df.columns if repaired_name(c, sep) != c}
     mapping.update({k: v for k, v in (overrides or {}).items() if k in df.columns})
     return rename_columns(df, mapping)
-
-
-def select_with_suffix(left: DataFrame, right: DataFrame, suffix: str = "_R") -> list:
-    """``left.*, right.*`` with right-side names that clash renamed
-    ``<name><suffix>``, so the result can be written."""
-    lnames = {c.upper() for c in left.columns}
-    cols = [left[c] for c in left.columns]
-    for c in right.columns:
-        cols.append(right[c].alias(c + suffix) if c.upper() in lnames else right[c])
-    return cols

@@ -13,16 +13,16 @@ person key, payload). The history keeps every version of every person:
 
 Scale notes (history ~ 10^9 rows, snapshot ~ 3*10^8):
 
-``advance_delta`` reads the history once, reduced map-side to distinct
-(key, respondent) versions and then to one summary row per key, and the
-snapshot once, reduced to one row per (key, respondent). Every snapshot
-row meets at most one row on the other side of each join, so a person
-with many versions, or a hot placeholder key, never multiplies rows; all
-output rows come from a single projection. The reference form (anti
-join, inner join on ``!=``, 3-key anti join, run as separate jobs) scans
-and shuffles the history three times and emits one changed row per
-differing version. Remaining skew sits on the snapshot side of joins whose
-other side is unique per key, which AQE's skew-join splitting handles.
+``advance_delta`` stacks the history and the snapshot and reduces both in one
+aggregate per (key, respondent), map-side first; a second aggregate makes
+one summary row per key, which is joined back. Each input is scanned once
+and four exchanges run in all. Every join has a side of one row per key and
+goes through ``keyed_join``, so a person with many versions, or a hot
+placeholder key, never multiplies rows and never fills one task.
+
+Null key parts: such a key is a person by its null pattern, compared
+null-safely with what is recorded, with an id minted from the pattern; it is
+new once, never changed, and never in the latest view.
 """
 
 from __future__ import annotations
@@ -34,8 +34,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from idweave.functions.ids import person_id
+from idweave.functions.ids import null_person_id, person_id
 from idweave.functions.meta import meta_literal
+from idweave.operators.joins import keyed_join
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,8 @@ class HistorySpec:
         return reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
 
     def new_id(self) -> Column:
-        return person_id(*self.keys, namespace=self.namespace)
+        return F.coalesce(person_id(*self.keys, namespace=self.namespace),
+                          null_person_id(*self.keys, namespace=self.namespace))
 
 
 def _stamp(df: DataFrame, spec: HistorySpec, payload: Sequence[str], quarter: str,
@@ -107,69 +109,40 @@ def initial_history(match: DataFrame, spec: HistorySpec, quarter: str, created,
 
 def new_records(match: DataFrame, history: DataFrame, spec: HistorySpec, quarter: str,
                 created, meta: Mapping | None = None) -> DataFrame:
-    """Snapshot rows whose key is not in the history, one per key.
-
-    Null keys never equal anything, so such rows count as new (one per
-    distinct null pattern), as in the reference."""
+    """Snapshot rows whose key is not in the history, one per key (null
+    parts compared null-safely)."""
     payload = spec.payload(match)
-    known = history.select(*spec.keys).where(spec.key_not_null()).distinct()
-    fresh = match.join(known, list(spec.keys), "left_anti")
+    known = history.select(*spec.keys).distinct()
+    fresh = keyed_join(match, known, spec.keys, how="left_anti", null_safe=True)
     fresh = dedup_by_key(fresh.select(spec.resp, *spec.keys, *payload), spec.keys,
                          [spec.resp, *payload])
     return _stamp(fresh, spec, payload, quarter, created, meta)
 
 
 def changed_records(match: DataFrame, history: DataFrame, spec: HistorySpec, quarter: str,
-                    created, meta: Mapping | None = None, dedupe: bool = True) -> DataFrame:
-    """Changed-record step: snapshot rows of a known person whose
-    respondent is not yet recorded for that person (some recorded version
-    differs), keeping the history's person id.
-
-    ``dedupe=True``: one row per (key, respondent) — the CHANGED part of
-    ``advance_delta``. ``dedupe=False`` reproduces the reference's output
-    multiplicity (one copy per differing history row of the person, and
-    per duplicate snapshot row) without joining the versions pairwise:
-    each changed snapshot row is repeated by a per-key count, so the work
-    is linear in the output even for a hot key."""
-    if dedupe:
-        d = advance_delta(history, match, spec, quarter, created, meta, with_kind=True)
-        return d.where(F.col("KIND") == "changed").drop("KIND")
-    K, R = list(spec.keys), spec.resp
-    payload = spec.payload(match)
-    h = history.where(spec.key_not_null(history))
-    per_key = (h.where(F.col(R).isNotNull()).groupBy(*K)
-               .agg(F.count(F.lit(1)).alias("_n"), F.min(spec.person).alias("_pid")))
-    recorded = h.select(*K, R).distinct()
-    cand = (match.where(spec.key_not_null(match) & F.col(R).isNotNull())
-            .join(per_key, K, "inner").join(recorded, [*K, R], "left_anti"))
-    rep = cand.select("*", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_i"))
-    return _stamp(rep, spec, payload, quarter, created, meta, pid=F.col("_pid"))
+                    created, meta: Mapping | None = None) -> DataFrame:
+    """Changed-record step: snapshot rows of a known person whose respondent
+    is not yet recorded for that person (some recorded version differs),
+    keeping the history's person id; one row per (key, respondent)."""
+    d = advance_delta(history, match, spec, quarter, created, meta, with_kind=True)
+    return d.where(F.col("KIND") == "changed").drop("KIND")
 
 
 def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
                   created, meta: Mapping | None = None, partitions: int | None = None,
-                  compare_to: str = "all", with_kind: bool = False,
-                  hot_rows: int | None = None) -> DataFrame:
+                  compare_to: str = "all", with_kind: bool = False) -> DataFrame:
     """Rows one snapshot adds to the history: new persons, then changed
     respondents, with the same rows as the reference's new-then-changed
-    sequence (changed rows deduplicated, see module notes).
+    sequence (changed rows deduplicated).
 
     A snapshot row ``a`` with key ``k`` is
     * NEW when ``k`` is not in the history (one survivor per key, the
       smallest by (respondent, payload));
     * CHANGED when ``k`` is known, ``a.resp`` is not null, the history has a
       non-null respondent for ``k`` and none equal to ``a.resp`` (so some
-      recorded version differs). Also when ``k`` is new (and not null) and
-      ``a.resp`` differs from the NEW survivor's respondent (the reference
-      appends new rows before looking for changes).
-
-    Plan: the snapshot is reduced to one row per (key, respondent) (the
-    smallest payload), joined to the distinct recorded versions on
-    (key, respondent) and to a per-key summary of the history on key;
-    survivors of new keys are a per-key aggregate joined back on key. All
-    joins have a side that is unique per join key, so nothing fans out,
-    and every output row comes out of one projection (no union, so the
-    snapshot and the history are each scanned once).
+      recorded version differs). Also when ``k`` is new and ``a.resp`` differs
+      from the NEW survivor's respondent (the reference appends new rows
+      before looking for changes). A key with a null part is never CHANGED.
 
     ``compare_to="latest"`` judges a change against the key's latest
     recorded respondent only (newest ``created``, ties to the larger id),
@@ -179,84 +152,98 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
 
     ``with_kind`` adds ``KIND`` ('new' / 'changed') to every row.
 
-    ``hot_rows`` (default ``HOT_ROWS``): snapshot keys with more rows than
-    this are classified in a separate branch where the per-key summary and
-    survivor rows are broadcast (at most rows / hot_rows keys), so a hot key
-    is never gathered into one task by a key shuffle; the (key, respondent)
-    joins spread its rows by respondent. ``hot_rows=0`` disables the split.
-
     ``partitions``: when the history is a table bucketed by the person key
-    into that many buckets, hash-partition the snapshot the same way; every
-    join and aggregate then runs on the buckets and the history is not
-    shuffled at all (``HistoryStore(bucketed=...)``).
+    into that many buckets, hash-partition the snapshot the same way; the
+    recorded versions and the summary are then made on the buckets and the
+    history is not shuffled at all (``HistoryStore(bucketed=...)``).
     """
-    K, R = list(spec.keys), spec.resp
-    payload = spec.payload(match)
-    has_key = spec.key_not_null(match)
     if compare_to not in ("all", "latest"):
         raise ValueError("compare_to must be 'all' or 'latest'")
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-
-    # recorded versions (map-side distinct) and one summary row per key
-    versions = (history.where(spec.key_not_null(history))
-                .groupBy(*K, R).agg(F.min(spec.person).alias("_vpid")))
-    summary = versions.groupBy(*K).agg(
-        F.min("_vpid").alias("_pid"), F.count(R).alias("_n_resp"), F.lit(True).alias("_known"))
+    K, R = list(spec.keys), spec.resp
+    payload = spec.payload(match)
+    packed = F.struct(*[F.col(c) for c in payload]) if payload else F.struct(F.lit(0).alias("none"))
+    if partitions:
+        # the few keys with null parts go the other way: buckets join on equality
+        odd = advance_delta(history.where(~spec.key_not_null(history)), match.where(~spec.key_not_null(match)),
+                            spec, quarter, created, meta, compare_to=compare_to, with_kind=with_kind)
+        versions, summary = _bucketed_versions(history.where(spec.key_not_null(history)),
+                                               match.where(spec.key_not_null(match)), spec, packed, partitions)
+        rows = versions.join(summary, _same(versions, summary, K), "left").select(
+            *[versions[c] for c in versions.columns], *[summary[c] for c in SUMMARY])
+    else:
+        versions = _stacked_versions(history, match, spec, packed)
+        rows = keyed_join(versions, _summary(versions, K, R), K, how="left", null_safe=True)
+    rows = rows.where(F.col("_row").isNotNull())
+    r, first = F.col(R), F.col("_first")[R]
+    fresh = F.col("_pid").isNull()
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in K])
+    is_new = fresh & r.eqNullSafe(first)
+    changed_new = fresh & has_key & r.isNotNull() & first.isNotNull() & (r != first)
     if compare_to == "latest":
-        newest = (history.where(spec.key_not_null(history)).groupBy(*K)
-                  .agg(F.max(F.struct(spec.created, R)).alias("_l"))
-                  .select(*K, F.col("_l")[R].alias("_latest_r")))
-        summary = summary.join(newest, K, "left")
-
-    def classify(rows: DataFrame, summ: DataFrame, vers: DataFrame, parts: int | None,
-                 small_keys: bool) -> DataFrame:
-        if parts:
-            rows = rows.repartition(parts, *K)
-        # snapshot versions: one row per (key, respondent), smallest payload
-        snap = _min_row(rows, [*K, R], payload)
-        seen = vers.select(*K, R, F.lit(True).alias("_seen"))
-        j = snap.join(seen, [*K, R], "left").join(F.broadcast(summ) if small_keys else summ, K, "left")
-        # survivor (smallest respondent, then payload) of every new key
-        surv = (j.where(F.col("_known").isNull()).groupBy(*K)
-                .agg(F.min(F.struct(R, *payload)).alias("_s"))
-                .select(*K, F.col("_s")[R].alias("_sr"), F.lit(True).alias("_fresh")))
-        t = j.join(F.broadcast(surv) if small_keys else surv, K, "left")
-        r, sr = F.col(R), F.col("_sr")
-        is_new = F.col("_fresh") & r.eqNullSafe(sr)
-        changed_new = F.col("_fresh") & r.isNotNull() & sr.isNotNull() & (r != sr)
-        if compare_to == "latest":
-            changed_old = F.col("_known") & r.isNotNull() & (r != F.col("_latest_r"))
-        else:
-            changed_old = (F.col("_known") & r.isNotNull() & (F.col("_n_resp") > 0)
-                           & F.col("_seen").isNull())
-        keep = F.coalesce(is_new | changed_new | changed_old, F.lit(False))
-        pid = F.when(F.col("_known"), F.col("_pid")).otherwise(spec.new_id())
-        kind = [F.when(F.coalesce(is_new, F.lit(False)), "new").otherwise("changed").alias("KIND")]
-        return _stamp(t.where(keep), spec, payload, quarter, created, meta, pid=pid,
-                      extra=kind if with_kind else ())
-
-    keyed = match.where(has_key)
-    hot = None
-    if hot_rows and _may_hold_hot_keys(keyed, hot_rows):
-        # keys with more than hot_rows snapshot rows (map-side counted); the
-        # split is only planned when there is one, so the usual plan stays
-        # a single branch
-        counts = keyed.groupBy(*K).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.where(F.col("_n") > hot_rows).select(*K)
-        hot = F.broadcast(hot) if hot.limit(1).count() else None
-    if hot is not None:
-        out = classify(keyed.join(hot, K, "left_anti"), summary, versions, partitions, False)
-        out = out.unionByName(classify(keyed.join(hot, K, "left_semi"),
-                                       summary.join(hot, K, "left_semi"),
-                                       versions.join(hot, K, "left_semi"), None, True))
+        # no version is newer than the newest; naming _at here lets both uses of
+        # the versions share one exchange
+        newest = F.col("_at").isNull() | (F.col("_at") <= F.col("_last")["_at"])
+        changed_old = ~fresh & has_key & r.isNotNull() & (r != F.col("_last")[R]) & newest
     else:
-        out = classify(keyed, summary, versions, partitions, False)
+        changed_old = (~fresh & has_key & r.isNotNull() & (F.col("_recorded") > 0)
+                       & F.col("_vpid").isNull())
+    kept = rows.where(F.coalesce(is_new | changed_new | changed_old, F.lit(False)))
+    # a version's own id is one of those that the key's id is the least of
+    pid = F.when(fresh, spec.new_id()).otherwise(F.least("_pid", "_vpid"))
+    kind = [F.when(is_new, "new").otherwise("changed").alias("KIND")] if with_kind else []
+    out = kept.select(*K, R, pid.alias("_id"), *[F.col("_row")[c].alias(c) for c in payload], *kind)
+    out = _stamp(out, spec, payload, quarter, created, meta, pid=F.col("_id"),
+                 extra=[F.col("KIND")] if with_kind else ())
+    return out.unionByName(odd) if partitions else out
+
+
+#: What ``_summary`` knows of a key: its recorded id, recorded respondents,
+#: newest recorded (created, respondent) and least snapshot row.
+SUMMARY = ("_pid", "_recorded", "_last", "_first")
+
+
+def _stacked_versions(history: DataFrame, match: DataFrame, spec: HistorySpec, packed: Column) -> DataFrame:
+    """One row per (key, respondent) of either input: the recorded id and
+    newest created, the snapshot's smallest payload."""
+    K, R = list(spec.keys), spec.resp
+    created = history.schema[spec.created].dataType
+    person = history.schema[spec.person].dataType
+    kind = match.select(packed.alias("_row")).schema["_row"].dataType
+    old = history.select(*K, R, F.col(spec.person).alias("_vpid"), F.col(spec.created).alias("_at"),
+                         F.lit(None).cast(kind).alias("_row"))
+    new = match.select(*K, R, F.lit(None).cast(person).alias("_vpid"), F.lit(None).cast(created).alias("_at"),
+                       packed.alias("_row"))
+    return old.unionByName(new).groupBy(*K, R).agg(
+        F.min("_vpid").alias("_vpid"), F.max("_at").alias("_at"), F.min("_row").alias("_row"))
+
+
+def _summary(versions: DataFrame, K: list[str], R: str) -> DataFrame:
+    """One row per key: see ``SUMMARY``."""
+    recorded = F.col("_vpid").isNotNull()
+    return versions.groupBy(*K).agg(
+        F.min("_vpid").alias("_pid"), F.count(F.when(recorded, F.col(R))).alias("_recorded"),
+        F.max(F.when(recorded, F.struct("_at", R))).alias("_last"),
+        F.min(F.when(F.col("_row").isNotNull(), F.struct(R, "_row"))).alias("_first"))
+
+
+def _bucketed_versions(history: DataFrame, match: DataFrame, spec: HistorySpec, packed: Column,
+                       partitions: int) -> tuple[DataFrame, DataFrame]:
+    """As ``_stacked_versions`` and ``_summary`` for a history bucketed by
+    the person key: nothing but the snapshot is shuffled."""
+    K, R = list(spec.keys), spec.resp
+    snap = match.repartition(partitions, *K).groupBy(*K, R).agg(F.min(packed).alias("_row"))
+    old = history.groupBy(*K, R).agg(F.min(spec.person).alias("_vpid"), F.max(spec.created).alias("_at"))
+    versions = snap.join(old, _same(snap, old, K) & snap[R].eqNullSafe(old[R]), "left").select(
+        *[snap[c] for c in [*K, R]], old["_vpid"], old["_at"], snap["_row"])
+    known = _summary(old.withColumn("_row", F.lit(None).cast(versions.schema["_row"].dataType)), K, R).drop("_first")
+    least = snap.groupBy(*K).agg(F.min(F.struct(R, "_row")).alias("_first"))
+    summary = least.join(known, _same(least, known, K), "left").select(
+        *[least[k] for k in K], *[known[c] for c in SUMMARY[:3]], least["_first"])
+    return versions, summary
+
 
-    # keys with a null part never equal a recorded key: one new row per
-    # null pattern, never a change (read with a pushed-down IS NULL filter)
-    null_keys = _stamp(_min_row(match.where(~has_key), K, [R, *payload]), spec, payload,
-                       quarter, created, meta, extra=[F.lit("new").alias("KIND")] if with_kind else ())
-    return out.unionByName(null_keys)
+def _same(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[c] == b[c] for c in columns])
 
 
 def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str,
@@ -267,57 +254,21 @@ def advance(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: st
     return history.unionByName(delta.select(*history.columns))
 
 
-# A person key with more rows than this is "hot": it is joined against a
-# broadcast of its per-key row instead of through a shuffle, so its rows stay
-# spread over the tasks that read them. The broadcast holds at most
-# rows / HOT_ROWS keys (each hot key has more than HOT_ROWS rows).
-HOT_ROWS = 1_000_000
-
-
-# Inputs whose estimated size is below this cannot put a harmful amount of
-# data into one task even if every row had the same key, so they skip the
-# hot-key detection (a planning shortcut; results are the same either way).
-SKEW_CHECK_BYTES = 32 * 1024 * 1024
-
-
-def _may_hold_hot_keys(df: DataFrame, hot_rows: int) -> bool:
-    """False when ``df`` is too small to matter: estimated size (optimizer
-    statistics, no job) under SKEW_CHECK_BYTES, or - where statistics are
-    unavailable - at most ``hot_rows`` rows (reads at most hot_rows + 1)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        size = size if isinstance(size, int) else int(size.toString())
-    except Exception:  # no JVM handle (e.g. a remote session)
-        return df.limit(hot_rows + 1).count() > hot_rows
-    return size > SKEW_CHECK_BYTES
-
-
-def latest(history: DataFrame, spec: HistorySpec, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def latest(history: DataFrame, spec: HistorySpec, bucketed: bool = False) -> DataFrame:
     """Per person key, the rows with the newest ``created`` (ties kept).
 
     Rows with a null key part or null ``created`` are dropped, as the
     reference's correlated ``IN (max ...)`` does. Computed as a partial
-    max per key plus a semi join (``created >= max`` is the same as ``=``
-    there and keeps the join keyed on the person key only): no window, so
-    no group is buffered in one task. Keys with more than ``hot_rows``
-    rows (blank placeholder keys accumulate every quarter) are matched
-    against a broadcast of their maxima instead of a shuffle; their rows
-    never meet in one task."""
+    max per key plus a semi join: no window, so no group is buffered in one
+    task, and the join splits hot keys. The scan behind the maxima reads the
+    key and ``created`` only. ``bucketed``: the history is a table bucketed by
+    the key; the join runs on the buckets, without any shuffle."""
     K, T = list(spec.keys), spec.created
     h = history.where(spec.key_not_null(history))
-    mx = h.groupBy(*K).agg(F.max(T).alias("_mx"), F.count(F.lit(1)).alias("_n"))
-    mx = mx.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(K)], "_mx", "_n")
-
-    def newest(rows: DataFrame, maxima: DataFrame) -> DataFrame:
-        cond = [rows[k] == maxima[f"_k{i}"] for i, k in enumerate(K)] + [rows[T] >= maxima["_mx"]]
-        return rows.join(maxima, reduce(lambda a, b: a & b, cond), "left_semi")
-
-    if not hot_rows or not _may_hold_hot_keys(h, hot_rows):
-        return newest(h, mx)
-    hot = F.broadcast(mx.where(F.col("_n") > hot_rows))
-    on_hot = reduce(lambda a, b: a & b, [h[k] == hot[f"_k{i}"] for i, k in enumerate(K)])
-    cold_rows = h.join(hot, on_hot, "left_anti")
-    return newest(cold_rows, mx.where(F.col("_n") <= hot_rows)).unionByName(newest(h, hot))
+    newest = h.groupBy(*K).agg(F.max(T).alias("_newest"))
+    if bucketed:
+        return h.join(newest, _same(h, newest, K) & (h[T] >= newest["_newest"]), "left_semi")
+    return keyed_join(h, newest, K, how="left_semi", also=lambda: F.col(T) == F.col("_newest"))
 
 
 def members_of(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,
@@ -325,11 +276,13 @@ def members_of(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,
     """History rows whose person key appears in ``snapshot`` (tuple IN)."""
     sk = list(snapshot_keys or spec.keys)
     ks = snapshot.select(*[F.col(s).alias(k) for s, k in zip(sk, spec.keys)]).distinct()
-    return history.join(ks, list(spec.keys), "left_semi")
+    return keyed_join(history, ks, list(spec.keys), how="left_semi")
 
 
 def person_history(history: DataFrame, key: Mapping[str, str]) -> DataFrame:
-    """All versions of one person (point lookup; pushed to the scan)."""
+    """All versions of one person. On a stored history the filter is pushed
+    to the scan; a history still to be advanced should have its snapshots
+    filtered first, as aggregates let key filters through."""
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in key.items()])
     return history.where(cond)
 
@@ -340,9 +293,9 @@ def stale_latest(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) ->
     re-appended)."""
     lt = latest(history, spec).select(*spec.keys, F.col(spec.resp).alias("LATEST_RESP_ID"),
                                       spec.created)
-    cur = snapshot.select(*spec.keys, F.col(spec.resp).alias("SNAPSHOT_RESP_ID"))
-    return (lt.join(cur, list(spec.keys), "inner")
-            .where(F.col("LATEST_RESP_ID") != F.col("SNAPSHOT_RESP_ID")))
+    cur = snapshot.select(*spec.keys, F.col(spec.resp).alias("SNAPSHOT_RESP_ID")).distinct()
+    return keyed_join(lt.distinct(), cur, list(spec.keys),
+                      also=lambda: F.col("LATEST_RESP_ID") != F.col("SNAPSHOT_RESP_ID"))
 
 
 def confirmed_by(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,
@@ -355,4 +308,11 @@ def confirmed_by(history: DataFrame, snapshot: DataFrame, spec: HistorySpec,
     payload = spec.payload(snapshot)
     s = _min_row(snapshot, K, payload)
     s = s.select(*K, *[F.col(c).alias(prefix + c) for c in payload])
-    return history.join(s, K, "inner").select(*history.columns, *[c for c in s.columns if c not in K])
+    return keyed_join(history, s, K).select(*history.columns, *[c for c in s.columns if c not in K])
+
+
+def rows_of_respondents(history: DataFrame, snapshot: DataFrame, spec: HistorySpec) -> DataFrame:
+    """History rows of the respondents that the snapshot names, whatever
+    their key: a semi join on the distinct respondents, never pairwise."""
+    named = snapshot.select(spec.resp).distinct()
+    return keyed_join(history, named, [spec.resp], how="left_semi")

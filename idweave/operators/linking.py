@@ -7,12 +7,13 @@ Skew and fan-out rules used throughout:
   otherwise link every blank-key history row to every blank-key pair, the
   hot-group product); e-mail-only pairs keep them, since only their A key
   is used and the anti join against the history cannot multiply rows;
-* lookup sides are reduced to distinct rows before the shuffle;
+* lookup sides are reduced to distinct rows before the shuffle, and joined
+  by ``keyed_join``, so that AQE can split a hot key of the other side;
 * the residual anti join with an OR of two composite keys (a nested-loop
   join in Spark) is one hash-partitioned anti join against both keys of
   every matched row;
-* ranking inside a block group never buffers a whole group in one task:
-  the distinct (group, completeness) pairs are ranked and joined back.
+* ranking inside a block group is an expression over one row of flags per
+  group: no group is sorted or gathered in one task.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.functions.demographics import attribute_count
@@ -28,6 +29,7 @@ from idweave.functions.ids import person_id, split_part
 from idweave.functions.meta import meta_literal
 from idweave.functions.text import non_blank
 from idweave.operators.history import HistorySpec
+from idweave.operators.joins import keyed_join
 
 
 def _pairs(pairs: DataFrame, keys: Sequence[str], pair_col: str, flag_col: str, email: bool) -> DataFrame:
@@ -46,7 +48,7 @@ def link_non_email(history: DataFrame, pairs: DataFrame, spec: HistorySpec = His
     non-e-mail match (flag not 'Y'; a null flag is not a match). A B key
     paired to several A persons gives one row each, same person id."""
     p = _pairs(pairs, spec.keys, pair_col, flag_col, email=False)
-    out = history.join(p, list(spec.keys), "left")
+    out = keyed_join(history, p, list(spec.keys), how="left")
     base = [c for c in history.columns if c != spec.meta]
     return out.select(
         *[F.col(c) for c in base], F.col(pair_col),
@@ -59,17 +61,22 @@ def link_non_email(history: DataFrame, pairs: DataFrame, spec: HistorySpec = His
 def link_email_only(history: DataFrame, pairs: DataFrame, quarter: str, created,
                     spec: HistorySpec = HistorySpec(), pair_col: str = "A_PAIR",
                     flag_col: str = "EMAIL_FLAG", meta: Mapping | None = None,
-                    a_namespace: str = "A") -> DataFrame:
+                    a_namespace: str = "A",
+                    weights: Sequence[str] = ("PERSON_WGT", "HOUSEHOLD_WGT")) -> DataFrame:
     """People known only through an e-mail pair (flag 'Y') whose B key is
-    not in the history. Their respondent and B key are blank, as in the
-    reference; the person id is minted from the A key they are known by."""
+    not in the history. Their respondent and B key are blank and those of
+    ``weights`` that the history has are 0 in the history's type; the person
+    id is minted from the A key they are known by, or from the whole pair
+    where that is no key of two parts."""
     p = _pairs(pairs, spec.keys, pair_col, flag_col, email=True)
     known = history.select(*spec.keys).where(spec.key_not_null()).distinct()
-    fresh = p.join(known, list(spec.keys), "left_anti")
+    fresh = keyed_join(p, known, list(spec.keys), how="left_anti")
     a_hh, a_ind = split_part(F.col(pair_col), 0), split_part(F.col(pair_col), 1)
     return fresh.select(
         F.lit("").alias(spec.resp), *[F.lit("").alias(k) for k in spec.keys],
-        person_id(a_hh, a_ind, namespace=a_namespace).alias(spec.person),
+        F.coalesce(person_id(a_hh, a_ind, namespace=a_namespace),
+                   person_id(F.coalesce(pair_col, F.lit("")), namespace=f"{a_namespace}-PAIR")).alias(spec.person),
+        *[F.lit("0").cast(history.schema[w].dataType).alias(w) for w in weights if w in history.columns],
         F.lit(quarter).cast("string").alias(spec.quarter), F.lit(created).alias(spec.created),
         F.col(pair_col), a_hh.alias("A_HHID"), a_ind.alias("A_INDID"),
         meta_literal(meta).alias(spec.meta),
@@ -94,7 +101,7 @@ def vendor_match(norm_a: DataFrame, norm_b: DataFrame, resp: str = "RESP_ID",
     distinct, so earlier links are kept."""
     a = norm_a.where(non_blank(F.col(resp))).select(resp, *a_keys).distinct()
     b = norm_b.where(non_blank(F.col(resp))).select(resp, *b_keys).distinct()
-    out = a.join(b, [resp], "inner").select(
+    out = keyed_join(a, b, [resp]).select(
         resp, *b_keys, *a_keys, person_id(*b_keys).alias("PERSON_ID"))
     if previous is not None:
         out = out.unionByName(previous.select(*out.columns)).distinct()
@@ -116,7 +123,7 @@ def residual_population(everyone: DataFrame, matched: DataFrame,
         F.struct(*[F.col(c).alias(k) for c, k in zip(b_keys, keys)]),
         F.struct(*[F.col(c).alias(k) for c, k in zip(a_keys, keys)]))).alias("_k")
     key_set = matched.select(both).select(*[F.col(f"_k.{k}").alias(k) for k in keys]).distinct()
-    return everyone.join(key_set, list(keys), "left_anti").select(*everyone.columns)
+    return keyed_join(everyone, key_set, list(keys), how="left_anti").select(*everyone.columns)
 
 
 def with_attribute_count(df: DataFrame, col: str = "ATTRIBUTE_COUNT") -> DataFrame:
@@ -124,26 +131,18 @@ def with_attribute_count(df: DataFrame, col: str = "ATTRIBUTE_COUNT") -> DataFra
 
 
 def rank_completeness(df: DataFrame, group: str = "BLOCK_GROUP", score: str = "ATTRIBUTE_COUNT",
-                      out: str = "DENSE_RANK") -> DataFrame:
-    """Dense rank of ``score`` (highest first) inside each ``group`` (a null
-    group is one group). Ranks the distinct (group, score) pairs - at most
-    a handful per group - and joins them back null-safely, so a huge
-    group (e.g. all rows without a block group) is never sorted in one
-    task."""
-    pairs = df.select(group, score).distinct()
-    w = Window.partitionBy(group).orderBy(F.col(score).desc())
-    ranked = pairs.select(F.col(group).alias("_g"), F.col(score).alias("_s"),
-                          F.dense_rank().over(w).alias(out))
-    cond = df[group].eqNullSafe(ranked["_g"]) & df[score].eqNullSafe(ranked["_s"])
-    return df.join(ranked, cond, "left").select(*[df[c] for c in df.columns], ranked[out])
-
-
-def rank_completeness_as_written(df: DataFrame, group: str = "BLOCK_GROUP",
-                                 score: str = "ATTRIBUTE_COUNT", out: str = "DENSE_RANK") -> DataFrame:
-    """The reference's window (partitioned by group *and* score, ordered by
-    score): every row ranks 1. Kept only to document that reading."""
-    w = Window.partitionBy(group, score).orderBy(score)
-    return df.withColumn(out, F.dense_rank().over(w))
+                      out: str = "DENSE_RANK", most: int = 4) -> DataFrame:
+    """Dense rank of ``score`` (an integer from 0 to ``most``, highest first)
+    inside each ``group`` (a null group is one group). Each group is reduced
+    to a flag per score; a row's rank is one more than the flags set above
+    its score. The flags of a group are one row, joined by ``keyed_join``, so
+    the rows of a huge group stay spread over tasks."""
+    flags = df.groupBy(group).agg(*[
+        F.max((F.col(score) == s).cast("int")).alias(f"_has{s}") for s in range(1, most + 1)])
+    above = sum((F.when(F.col(score) < s, F.coalesce(F.col(f"_has{s}"), F.lit(0))).otherwise(0)
+                 for s in range(1, most + 1)), F.lit(0))
+    joined = keyed_join(df, flags, [group], how="left", null_safe=True)
+    return joined.select(*df.columns, (above + 1).cast("int").alias(out))
 
 
 def panel_crosswalk(pop: DataFrame, id_res: DataFrame, quarter: str, created,
@@ -152,7 +151,7 @@ def panel_crosswalk(pop: DataFrame, id_res: DataFrame, quarter: str, created,
     and a person id."""
     p = pop.select(*keys)
     r = id_res.select(*keys, resp)
-    return p.join(r, list(keys), "left").select(
+    return keyed_join(p, r, list(keys), how="left").select(
         resp, *keys, person_id(*keys).alias("PERSON_ID"),
         F.lit(quarter).cast("string").alias("QUARTER_CREATED"), F.lit(created).alias("CREATED"))
 
@@ -164,5 +163,6 @@ def append_attributes(resolution: DataFrame, pop: DataFrame, left_key: str, righ
     lnames = {c.upper() for c in resolution.columns}
     renamed = {c: (c + suffix if c.upper() in lnames else c) for c in pop.columns}
     right = pop.select(*[F.col(c).alias(renamed[c]) for c in pop.columns])
-    joined = resolution.join(right, resolution[left_key] == right[renamed[right_key]], "left")
+    right = right.withColumn("_on", F.col(renamed[right_key]))
+    joined = keyed_join(resolution, right, [left_key], ["_on"], "left")
     return joined.select(*resolution.columns, *renamed.values())

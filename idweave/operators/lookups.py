@@ -1,56 +1,37 @@
 """Lookup joins: state -> FIPS, person -> census block, person -> respondent.
 
-Broadcast is used only behind a proven bound: ``broadcast_if_small``
-counts the lookup with a bounded ``limit(n + 1)`` and falls back to a
-shuffle join (where AQE may still pick a broadcast from runtime sizes)
-when the lookup is larger than the bound.
+No join here carries a broadcast hint: Spark broadcasts a lookup whose size
+is below ``autoBroadcastJoinThreshold`` (AQE decides by its size at run
+time), and shuffles otherwise.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# Rows a lookup may have and still be broadcast (a state/FIPS table has
-# ~60 rows; block or id-resolution tables are population-sized and never
-# qualify).
-BROADCAST_MAX_ROWS = 200_000
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` when it has at most ``max_rows`` rows, else ``dim``."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+from idweave.operators.joins import keyed_join
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
-                take: Sequence[str], how: str = "left", distinct: bool = True,
-                broadcast_rows: int | None = None) -> DataFrame:
+                take: Sequence[str], how: str = "left", distinct: bool = True) -> DataFrame:
     """``df`` joined to ``dim`` on ``left_on = right_on``, adding ``take``.
 
     ``distinct`` removes duplicate lookup rows first (duplicates would fan
-    out the left side). ``broadcast_rows`` enables the checked broadcast."""
-    cols = list(dict.fromkeys([*right_on, *take]))
-    d = dim.select(*cols)
+    out the left side)."""
+    d = dim.select(*dict.fromkeys([*right_on, *take]))
     if distinct:
         d = d.distinct()
-    tmp = {c: f"_lk_{i}" for i, c in enumerate(right_on)}
-    d = d.select(*[F.col(c).alias(tmp[c]) if c in tmp else F.col(c) for c in d.columns])
-    if broadcast_rows is not None:
-        d = broadcast_if_small(d, broadcast_rows)
-    cond = reduce(lambda a, b: a & b, [df[l] == d[tmp[r]] for l, r in zip(left_on, right_on)])
     keep = [c for c in df.columns if c not in take]
-    return df.join(d, cond, how).select(*[df[c] for c in keep], *[d[c] for c in take if c not in tmp])
+    return keyed_join(df.select(*keep), d, left_on, right_on, how).select(
+        *keep, *[c for c in take if c not in right_on])
 
 
 def geo_lookup(df: DataFrame, geo: DataFrame, state_col: str = "STATE_NAME",
                geo_state: str = "STATE_NAME", geo_fips: str = "FIPS_STATE") -> DataFrame:
-    """Add the FIPS state code (distinct lookup, checked broadcast)."""
-    return lookup_join(df, geo, [state_col], [geo_state], [geo_fips],
-                       broadcast_rows=BROADCAST_MAX_ROWS)
+    """Add the FIPS state code (distinct lookup)."""
+    return lookup_join(df, geo, [state_col], [geo_state], [geo_fips])
 
 
 def block_lookup(df: DataFrame, blocks: DataFrame, keys: Sequence[str] = ("A_HHID", "A_INDID"),
@@ -60,8 +41,8 @@ def block_lookup(df: DataFrame, blocks: DataFrame, keys: Sequence[str] = ("A_HHI
 
 
 def id_resolution(df: DataFrame, id_res: DataFrame, keys: Sequence[str] = ("A_HHID", "A_INDID"),
-                  resp: str = "RESP_ID") -> DataFrame:
+                  resp: str = "RESP_ID", id_res_keys: Sequence[str] | None = None) -> DataFrame:
     """``RESP_ID`` first, then every column of ``df``. A key resolved to
     several respondents yields several rows (see ``duplicate_keys``)."""
-    out = lookup_join(df, id_res, list(keys), list(keys), [resp], distinct=False)
+    out = lookup_join(df, id_res, list(keys), list(id_res_keys or keys), [resp], distinct=False)
     return out.select(resp, *[c for c in out.columns if c != resp])

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from idweave.functions import ids as I
 from idweave.functions.geo import geo_parts, legacy_group, legacy_tract, restate
 from idweave.functions.demographics import age_from_birth_year, income_from_thousands
-from idweave.functions.sql import register_sql_functions
 from idweave.functions.text import zero_pad
 from idweave.operators import audit as AU
 from idweave.operators import history as H
@@ -59,14 +58,15 @@ class Run:
     recomputed from the (two-step) lineage. The production path writes every
     version instead (``sources.history_store.HistoryStore``)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, only: dict[str, str] | None = None):
         configure(spark)
         self.fx = Fixtures(spark, sf_dir)
+        self.only = only
         self._hist: dict[int, DataFrame] = {}
         self._tables: dict[str, DataFrame] = {}
 
     def m(self, v: int) -> DataFrame:
-        return self.fx.match(v)
+        return H.person_history(self.fx.match(v), self.only) if self.only else self.fx.match(v)
 
     def h1(self) -> DataFrame:
         return H.initial_history(self.m(1), SPEC, QUARTERS[1], 1, meta(1))
@@ -113,7 +113,7 @@ class Run:
         return self.clean_pairs().select("A_PAIR").distinct()
 
     def pop_a_pairs(self) -> DataFrame:
-        return AU.pair_keys(self.fx.pop_a, "A_HHID", "A_INDID")
+        return AU.pair_keys(self.fx.current_a, "A_HHID", "A_INDID")
 
     def population_union(self) -> DataFrame:
         keys = ["B_HHID", "B_INDID"]
@@ -140,15 +140,6 @@ def q_changed_records_v3(spark, sf):
     return H.changed_records(r.m(3), h2.unionByName(new3), SPEC, QUARTERS[3], 3, meta(3))
 
 
-@query
-def q_changed_fanout_v3(spark, sf):
-    r = Run(spark, sf)
-    h2 = r.h(2)
-    new3 = H.new_records(r.m(3), h2, SPEC, QUARTERS[3], 3, meta(3))
-    return H.changed_records(r.m(3), h2.unionByName(new3), SPEC, QUARTERS[3], 3, meta(3),
-                             dedupe=False)
-
-
 @query
 def q_advance_delta_v3(spark, sf):
     r = Run(spark, sf)
@@ -186,7 +177,9 @@ def q_snapshot_union(spark, sf):
 
 @query
 def q_person_history(spark, sf):
-    return H.person_history(Run(spark, sf).h(3), PERSON_KEY)
+    """The key is looked up in the snapshots first, so that every scan and
+    aggregate of the advances sees one person's rows."""
+    return Run(spark, sf, only=PERSON_KEY).h(3)
 
 
 @query
@@ -203,6 +196,12 @@ def q_history_with_match(spark, sf):
     return H.confirmed_by(r.h(3), r.m(3), SPEC)
 
 
+@query
+def q_respondent_history(spark, sf):
+    r = Run(spark, sf)
+    return H.rows_of_respondents(r.h(3), r.m(3), SPEC)
+
+
 # ------------------------------------------------------------------ ids
 @query
 def q_person_id(spark, sf):
@@ -258,6 +257,18 @@ def q_vendor_match(spark, sf):
     return L.vendor_match(r.norm_a(), r.norm_b())
 
 
+@query
+def q_vendor_match_previous(spark, sf):
+    """The match united with an earlier crosswalk: what the B resolution file
+    says of persons that both vendors know by one key."""
+    r = Run(spark, sf)
+    b = r.fx.id_res_b.withColumn("A_HHID", F.expr("substring(B_HHID, 2)")).withColumn("A_INDID", F.col("B_INDID"))
+    known = b.join(r.fx.pop_a_old, ["A_HHID", "A_INDID"])
+    earlier = known.select("RESP_ID", "B_HHID", "B_INDID", "A_HHID", "A_INDID",
+                           I.person_id("B_HHID", "B_INDID").alias("PERSON_ID"))
+    return L.vendor_match(r.norm_a(), r.norm_b(), previous=earlier)
+
+
 @query
 def q_everyone(spark, sf):
     return Run(spark, sf).everyone()
@@ -449,7 +460,7 @@ def q_key_diff(spark, sf):
 @query
 def q_missing_by_key(spark, sf):
     r = Run(spark, sf)
-    pop = r.fx.pop_a.select(I.pair_key("A_HHID", "A_INDID").alias("A_PAIR"))
+    pop = r.fx.current_a.select(I.pair_key("A_HHID", "A_INDID").alias("A_PAIR"))
     return AU.missing_by_key(r.fx.vendor_xwalk, "A_PAIR", pop, "A_PAIR")
 
 
@@ -466,33 +477,14 @@ def q_duplicate_pairs(spark, sf):
 @query
 def q_missing_regions(spark, sf):
     fx = Run(spark, sf).fx
-    return AU.missing_regions(fx.vendor_xwalk, fx.pop_a, fx.pop_a_old)
-
-
-@query
-def q_missing_regions_sql(spark, sf):
-    """The region audit through the SQL API, with the split helper as a
-    native SQL function."""
-    fx = Run(spark, sf).fx
-    register_sql_functions(spark)
-    fx.vendor_xwalk.createOrReplaceTempView("idw_vendor_xwalk")
-    fx.pop_a.createOrReplaceTempView("idw_pop_a")
-    fx.pop_a_old.createOrReplaceTempView("idw_pop_a_old")
-    return spark.sql("""
-        SELECT DISTINCT y.STATE_NAME FROM (
-          SELECT DISTINCT pair_part_or_blank(A_PAIR, 0) AS A_HHID,
-                          pair_part_or_blank(A_PAIR, 1) AS A_INDID
-          FROM idw_vendor_xwalk
-          MINUS
-          SELECT DISTINCT A_HHID, A_INDID FROM idw_pop_a) x, idw_pop_a_old y
-        WHERE x.A_HHID = y.A_HHID AND x.A_INDID = y.A_INDID""")
+    return AU.missing_regions(fx.vendor_xwalk, fx.current_a, fx.pop_a_old)
 
 
 @query
 def q_row_counts(spark, sf):
     fx = Run(spark, sf).fx
     return AU.row_counts({
-        "pop_a": fx.pop_a, "pop_b": fx.pop_b, "coded_b": fx.coded_b,
+        "pop_a": fx.pop_a, "current_a": fx.current_a, "pop_b": fx.pop_b, "coded_b": fx.coded_b,
         "match_v1": fx.match(1), "match_v2": fx.match(2), "match_v3": fx.match(3),
         "vendor_xwalk": fx.vendor_xwalk, "geo": fx.geo, "blocks": fx.blocks,
         "id_res": fx.id_res, "id_res_b": fx.id_res_b,

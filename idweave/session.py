@@ -18,7 +18,7 @@ local checkpoint or a machine-local folder on a cluster.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -31,10 +31,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Person-level tables are hundreds of millions of rows; never let the
-    # static planner broadcast them from a stale size estimate.  Small
-    # lookups are broadcast explicitly after a row-count check
-    # (operators.lookups.broadcast_if_small) or by AQE from runtime sizes.
+    # Small lookups are broadcast by their size (this threshold, or AQE's
+    # runtime sizes); nothing is broadcast by hint.
     "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     # remove checkpoint files once their DataFrame is garbage collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -58,24 +56,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def cluster_conf(input_bytes: int, executor_cores_total: int,
-                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
-    """Shuffle sizing for a cluster run: start with enough shuffle partitions
-    that each holds ~``target_partition_bytes`` of the largest input (at
-    least 2x the cores), and let AQE coalesce small ones and split skewed
-    ones. E.g. a 30 TiB history on 8000 cores -> 122880 partitions of
-    ~256 MB, each of which fits an executor task without spilling."""
-    parts = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
-    mb = target_partition_bytes // (1024 * 1024)
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": f"{mb}m",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * mb}m",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
-    }
-
-
 def get_session(
     app: str = "idweave",
     master: str | None = None,
@@ -99,14 +79,17 @@ def get_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
+    """The session's ``spark.checkpoint.dir``. Where it is unset, a fresh
+    folder in local mode (tests); on a cluster an error, as a folder of one
+    machine is not seen by the others."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="idweave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -120,8 +103,3 @@ def materialise(df: DataFrame, name: str | None = None) -> DataFrame:
     path = f"{root}/idweave-tables/{name or 'df'}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def scratch_dir(prefix: str = "idweave-") -> str:
-    """Fresh local scratch folder for tests and benches (never on a cluster)."""
-    return tempfile.mkdtemp(prefix=prefix, dir=os.environ.get("IDWEAVE_SCRATCH"))

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from idweave.sources.readers import read_table
 
-# --- fixed values: fixture snapshot years and pair-file year ---------------
-SNAPSHOT_YEARS = {1: 1998, 2: 1999, 3: 2000}
-PAIR_YEAR = 2001
+# --- fixed values: first and last year of each snapshot (None: open) --------
+SNAPSHOT_YEARS = {1: (None, 1995), 2: (1996, 1998), 3: (1999, None)}
 # --------------------------------------------------------------------------
 
 
@@ -37,10 +36,11 @@ def p2(n: Column) -> Column:
     return F.lpad(n.cast("string"), 2, "0")
 
 
-def _year_range(col: str, year: int) -> Column:
-    # a range (not year(col) = y) so the filter is pushed to the Parquet scan
-    return (F.col(col) >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & \
-           (F.col(col) < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))
+def _years(col: str, first: int | None, last: int | None) -> Column:
+    # ranges (not year(col)) so the filter is pushed to the Parquet scan
+    at = lambda year: F.lit(f"{year}-01-01").cast("timestamp_ntz")
+    out = F.col(col).isNotNull() if first is None else F.col(col) >= at(first)
+    return out if last is None else out & (F.col(col) < at(last + 1))
 
 
 class Fixtures:
@@ -56,8 +56,7 @@ class Fixtures:
     @cached_property
     def pop_a(self) -> DataFrame:
         k = F.col("c_custkey")
-        c = self.table("customer").where(k % 11 != 0)
-        return c.select(
+        return self.table("customer").select(
             hh(k).alias("A_HHID"), ind(k).alias("A_INDID"), k.alias("pk"),
             F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("STATE_NAME"),
             F.col("c_nationkey"),
@@ -76,10 +75,17 @@ class Fixtures:
             hh(k).alias("A_HHID"), ind(k).alias("A_INDID"),
             F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("STATE_NAME"))
 
+    @cached_property
+    def current_a(self) -> DataFrame:
+        """The newest A delivery: persons whose account is in debt have left."""
+        k = F.col("c_custkey")
+        return self.table("customer").where(F.col("c_acctbal") >= 0).select(
+            hh(k).alias("A_HHID"), ind(k).alias("A_INDID"))
+
     @cached_property
     def pop_b(self) -> DataFrame:
         k = F.col("c_custkey")
-        return self.table("customer").where(k % 4 != 0).select(
+        return self.table("customer").select(
             F.concat(F.lit("T"), hh(k)).alias("B_HHID"), ind(k).alias("B_INDID"), k.alias("pk"))
 
     @cached_property
@@ -134,9 +140,8 @@ class Fixtures:
 
     # ---- snapshots and pair file ----------------------------------------
     def match(self, version: int) -> DataFrame:
-        year = SNAPSHOT_YEARS[version]
         k = F.col("o_custkey")
-        o = self.table("orders").where(_year_range("o_orderdate", year))
+        o = self.table("orders").where(_years("o_orderdate", *SNAPSHOT_YEARS[version]))
         g = o.groupBy("o_custkey").agg(
             F.count(F.lit(1)).alias("_n"), F.max("o_totalprice").alias("PERSON_WGT"),
             F.min("o_totalprice").alias("HOUSEHOLD_WGT"))
@@ -148,7 +153,7 @@ class Fixtures:
     @cached_property
     def vendor_xwalk(self) -> DataFrame:
         k, ok = F.col("o_custkey"), F.col("o_orderkey")
-        o = self.table("orders").where(_year_range("o_orderdate", PAIR_YEAR) & (k % 10 != 0))
+        o = self.table("orders")
         k2 = F.when(F.col("o_orderpriority") == "1-URGENT", k + 1).otherwise(k)
         return o.select(
             F.when(ok % 50 == 0, F.lit("  ")).otherwise(F.concat(F.lit("T"), hh(k))).alias("B_HHID"),
@@ -170,7 +175,7 @@ class Fixtures:
         k = F.col("c_custkey")
         nat = p2(F.col("c_nationkey"))
         code = (k * 7919).cast("string")
-        return self.table("customer").where(k % 9 != 0).select(
+        return self.table("customer").where(F.col("c_mktsegment") != "MACHINERY").select(
             hh(k).alias("A_HHID"), ind(k).alias("A_INDID"),
             F.concat(nat, F.lpad(code, 13, "0")).alias("BLOCK"),
             F.when(k % 5 == 0, F.lit(None).cast("string"))
@@ -179,16 +184,16 @@ class Fixtures:
     @cached_property
     def id_res(self) -> DataFrame:
         k = F.col("c_custkey")
-        return self.table("customer").where(k % 7 != 0).select(
+        return self.table("customer").where(F.col("c_mktsegment") != "BUILDING").select(
             hh(k).alias("A_HHID"), ind(k).alias("A_INDID"),
             F.concat(F.lit("R"), F.floor(k / 2).cast("bigint").cast("string")).alias("RESP_ID"))
 
     @cached_property
     def id_res_b(self) -> DataFrame:
-        pk = F.col("pk")
-        return self.pop_b.where(pk % 6 != 0).select(
-            "B_HHID", "B_INDID",
-            F.concat(F.lit("R"), F.floor(pk / 2).cast("bigint").cast("string")).alias("RESP_ID"))
+        k = F.col("c_custkey")
+        return self.table("customer").where(F.col("c_mktsegment") != "HOUSEHOLD").select(
+            F.concat(F.lit("T"), hh(k)).alias("B_HHID"), ind(k).alias("B_INDID"),
+            F.concat(F.lit("R"), F.floor(k / 2).cast("bigint").cast("string")).alias("RESP_ID"))
 
     # ---- convenience -----------------------------------------------------
     def population_a(self) -> DataFrame:

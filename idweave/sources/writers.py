@@ -90,14 +90,11 @@ def export_csv(df: DataFrame, path: str, header: bool = True, mode: str = "error
     return path
 
 
-def report_csv(df: DataFrame, path: str, max_rows: int = 1_000_000, header: bool = True) -> str:
-    """Single-file CSV for a small report. Refuses inputs over ``max_rows``
-    (counted with a bounded ``limit``) instead of funnelling a large result
-    through one task."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
-        raise ValueError(f"report has more than {max_rows} rows; write it with export_csv")
-    df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
+def report_csv(df: DataFrame, path: str, header: bool = True, single_file: bool = False) -> str:
+    """CSV report, one file per partition; ``single_file`` puts all of it in
+    one file, for which one task writes everything."""
+    out = df.coalesce(1) if single_file else df
+    out.write.mode("overwrite").option("header", header).csv(path)
     return path
 
 

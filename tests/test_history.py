@@ -2,6 +2,7 @@
 fixture data, and the one-pass advance against the reference sequence."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,16 +93,13 @@ def test_null_keys_and_null_respondents(spark):
     assert H.latest(h1.unionByName(delta), SPEC).where(F.col("B_INDID").isNull()).count() == 0
 
 
-def test_changed_fanout_matches_reference_multiplicity(spark):
+def test_changed_records_match_the_reference(spark):
     h = snap(spark, [("A", "h", "1", 1.0), ("B", "h", "1", 1.0), ("A", "k", "1", 1.0)])
     hist = H.initial_history(h, SPEC, "Q1", 1)
     m = snap(spark, [("C", "h", "1", 2.0), ("A", "h", "1", 2.0), ("C", "k", "1", 3.0)])
-    fan = H.changed_records(m, hist, SPEC, "Q2", 2, dedupe=False)
-    ref = reference_changed(m, hist, 2)   # distinct form
-    # C for h differs from two recorded rows (A, B): two copies; C for k: one
-    assert sorted((r.RESP_ID, r.B_HHID) for r in fan.collect()) == [("C", "h"), ("C", "h"), ("C", "k")]
-    assert as_set(fan.distinct()) == as_set(ref)
-    assert as_set(H.changed_records(m, hist, SPEC, "Q2", 2)) == as_set(ref)
+    got = H.changed_records(m, hist, SPEC, "Q2", 2)
+    assert as_set(got) == as_set(reference_changed(m, hist, 2))
+    assert sorted((r.RESP_ID, r.B_HHID) for r in got.collect()) == [("C", "h"), ("C", "k")]
 
 
 def test_latest_keeps_ties(spark):
@@ -110,8 +108,7 @@ def test_latest_keeps_ties(spark):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed, monkeypatch):
-    monkeypatch.setattr(H, "SKEW_CHECK_BYTES", -1)   # always run the hot-key detection
+def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed):
     rnd = random.Random(seed)
 
     def gen(n):
@@ -129,11 +126,8 @@ def test_one_pass_advance_matches_reference_on_random_snapshots(spark, seed, mon
         one = H.advance_delta(hist, m, SPEC, f"Q{v}", v)
         ref = reference_delta(hist, m, v)
         assert as_set(one) == as_set(ref)
-        # hot-key branch: every key with more than one row takes the broadcast path
-        split = H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=1)
-        assert "BroadcastExchange" in split._jdf.queryExecution().executedPlan().toString()
-        assert as_set(split) == as_set(ref)
-        assert as_set(H.advance_delta(hist, m, SPEC, f"Q{v}", v, hot_rows=0)) == as_set(ref)
+        assert as_set(H.advance_delta(hist, m, SPEC, f"Q{v}", v, partitions=4)) == as_set(ref)
+        assert as_set(H.advance_delta(hist.unionByName(one), m, SPEC, f"Q{v}", v)) == []   # replay
         # tiny test data: rebuild from rows to keep the test plans small
         nxt = hist.unionByName(one)
         hist = spark.createDataFrame(nxt.collect(), nxt.schema)
@@ -144,9 +138,9 @@ def test_fixture_history_counts_and_invariants(spark):
     h1 = H.initial_history(fx.match(1), SPEC, "Q1", 1)
     h2 = adv(h1, fx.match(2), 2)
     h3 = adv(h2, fx.match(3), 3)
-    assert (h1.count(), h2.count(), h3.count()) == (118, 205, 263)
-    assert H.latest(h3, SPEC).count() == 149
-    assert H.members_of(h3, fx.match(2), SPEC).count() == 221
+    assert (h1.count(), h2.count(), h3.count()) == (116, 257, 369)
+    assert H.latest(h3, SPEC).count() == 150
+    assert H.members_of(h3, fx.match(2), SPEC).count() == 367
     # one person id per key, and latest is a subset of the history
     per_key = h3.groupBy("B_HHID", "B_INDID").agg(F.countDistinct("PERSON_ID").alias("n"))
     assert per_key.where("n > 1").count() == 0
@@ -190,22 +184,44 @@ def test_compare_to_latest_on_fixtures_leaves_nothing_stale(spark):
         h = H.advance(h, fx.match(v), SPEC, f"Q{v}", v, compare_to="latest")
         h = spark.createDataFrame(h.collect(), h.schema)
     assert H.stale_latest(h, fx.match(3), SPEC).count() == 0
-    assert H.latest(h, SPEC).count() == 149
-
-
-def test_latest_hot_key_path_matches(spark, monkeypatch):
-    monkeypatch.setattr(H, "SKEW_CHECK_BYTES", -1)
-    rows = [("R%d" % i, "HOT", "1", float(i)) for i in range(40)] + \
-           [("A", "h", "1", 1.0), ("B", "k", "1", 2.0)]
-    h1 = H.initial_history(snap(spark, rows), SPEC, "Q1", 1)
-    h2 = H.initial_history(snap(spark, [("R99", "HOT", "1", 9.0), ("C", "h", "1", 3.0)]), SPEC, "Q2", 2)
-    h = h1.unionByName(h2)
-    base = H.latest(h, SPEC, hot_rows=None)
-    split = H.latest(h, SPEC, hot_rows=5)          # HOT (41 rows) takes the broadcast path
-    assert as_set(split) == as_set(base)
-    assert sorted((r.RESP_ID, r.B_HHID) for r in split.collect()) == [("B", "k"), ("C", "h"), ("R99", "HOT")]
-    plan = split._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-    monkeypatch.setattr(H, "SKEW_CHECK_BYTES", float("inf"))   # gate closed: plain plan
-    plain = H.latest(h, SPEC, hot_rows=5)._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" not in plain and "BroadcastExchange" not in plain
+    assert H.latest(h, SPEC).count() == 150
+
+
+def test_null_key_persons_have_ids_and_are_added_once(spark):
+    m = snap(spark, [("A", None, "1", 1.0), ("B", None, "1", 2.0), ("A", "h", None, 3.0), ("A", "h", "1", 1.0)])
+    h = H.initial_history(m.where("B_INDID = '9'"), SPEC, "Q0", 0)
+    for v in (1, 2, 3):
+        h = spark.createDataFrame(H.advance(h, m, SPEC, f"Q{v}", v).collect(), h.schema)
+        assert h.count() == 3
+    ids = [r.PERSON_ID for r in h.collect()]
+    assert None not in ids and len(set(ids)) == 3
+
+
+def test_rows_of_respondents(spark):
+    h = H.initial_history(snap(spark, [("A", "h", "1", 1.0), ("A", "k", "1", 1.0), ("B", "h", "2", 1.0),
+                                       (None, "z", "1", 1.0)]), SPEC, "Q1", 1)
+    got = H.rows_of_respondents(h, snap(spark, [("A", "x", "9", 0.0), ("A", "y", "9", 0.0), (None, "z", "1", 1.0)]), SPEC)
+    assert sorted((r.RESP_ID, r.B_HHID) for r in got.collect()) == [("A", "h"), ("A", "k")]
+
+
+def test_advance_scans_each_input_once(spark, tmp_path):
+    """The plan that ran, over stored tables and without broadcast: one scan
+    of the history, one of the snapshot, at most four hash exchanges."""
+    fx = Fixtures(spark, SF_SMALL)
+    H.initial_history(fx.match(1), SPEC, "Q1", 1).write.parquet(str(tmp_path / "hist"))
+    fx.match(2).write.parquet(str(tmp_path / "snap"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for mode in ("all", "latest"):
+            delta = H.advance_delta(spark.read.parquet(str(tmp_path / "hist")),
+                                    spark.read.parquet(str(tmp_path / "snap")), SPEC, "Q2", 2, compare_to=mode)
+            qe = delta._jdf.queryExecution()
+            qe.executedPlan().executeCollect()
+            plan = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+            scans = re.findall(r"FileScan parquet .*?file:\S*/(hist|snap)\b", plan)
+            assert sorted(scans) == ["hist", "snap"], plan
+            exchanges = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+            assert len(exchanges) <= 4, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
