@@ -91,11 +91,12 @@ def flag_positive(value: ColumnLike) -> Column:
 
 
 def income_from_thousands(value: ColumnLike) -> Column:
-    """Income in thousands -> whole units: '45' -> 45000; null -> 0.
+    """Income in thousands -> whole units: '45' -> 45000, '45.5' -> 45500;
+    null -> 0, other text -> null.
 
     Typed bigint explicitly (the untyped form changes type with ANSI mode)."""
     v = as_col(value)
-    return (F.when(v.isNotNull(), F.concat(v.cast("string"), F.lit("000")).try_cast("bigint"))
+    return (F.when(v.isNotNull(), (v.cast("string").try_cast("decimal(20,3)") * 1000).try_cast("bigint"))
             .otherwise(F.lit(0).cast("bigint")))
 
 

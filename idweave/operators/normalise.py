@@ -5,9 +5,8 @@ id-resolution file; vendor B delivers coded columns (code book names) with
 FIPS parts. Both end in the same Y/N flag schema so they can be stacked,
 matched and ranked together.
 
-Plan shape (A): the state lookup is a checked broadcast; the block and id
-resolution joins are sort-merge joins on the same person key, so the
-population is shuffled once and the second join reuses the partitioning.
+Plan shape (A): the state lookup is broadcast by its size; the block and id
+resolution joins are keyed joins (a hot key is split by AQE).
 """
 
 from __future__ import annotations
@@ -21,15 +20,16 @@ from pyspark.sql import functions as F
 from idweave.functions import demographics as D
 from idweave.functions.geo import fips_concat, restate, legacy_tract, legacy_group
 from idweave.functions.text import zero_pad
-from idweave.operators.columns import rename_columns, sanitise_columns, sanitise_name
+from idweave.operators.columns import rename_columns, sanitise_columns, sanitise_name, upcase_columns
 from idweave.operators.lookups import block_lookup, geo_lookup, id_resolution
 
-# Shared schema of the stacked vendors (order is the output order).
+# --- fixed values: shared schema of the stacked vendors, in output order ----
 SHARED_COLUMNS = (
     "RESP_ID", "HHID", "INDID", "MALE", "FEMALE", "MARRIED", "SINGLE", "HISPANIC", "BLACK",
     "FULL_TIME_EMPLOYMENT", "PART_TIME_EMPLOYMENT", "SOME_HIGH_SCHOOL", "SOME_COLLEGE",
     "BACHELORS_DEGREE", "GRADUATE_DEGREE", "BLOCK_GROUP", "AGE", "DATA_SOURCE",
 )
+# --------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
@@ -48,7 +48,12 @@ class VendorAColumns:
     county: str = "A_COUNTY"
     income_k: str = "A_INCOME_K"
     birth_year: str = "A_BIRTH_YEAR"
+    birth_month: str = "A_BIRTH_MONTH"
+    people: str = "A_PEOPLE"
+    adults: str = "A_ADULTS"
     source_tag: str = "A"
+    # key columns that the id-resolution file is joined on (same names there)
+    resolve_on: tuple[str, ...] = ("A_HHID", "A_INDID")
 
 
 # --- fixed values: vendor A delivery column names --------------------------
@@ -56,7 +61,9 @@ DELIVERED_A = VendorAColumns(
     hhid="AIQ_HHID", indid="AIQ_INDID", state="STATE", gender="AIQ_GENDER",
     marital="AIQ_MARITAL_V2", employment="AIQ_EMPLOYMENT", ethnic="ETHNIC_GROUP",
     education="AIQ_EDUCATION_V2", children="AIQ_CHILDREN_IN_HH_V2", county="COUNTY_CODE",
-    income_k="INCOMEIQ_PLUS_V3", birth_year="AIQ_BIRTH_YEAR", source_tag="AIQ",
+    income_k="INCOMEIQ_PLUS_V3", birth_year="AIQ_BIRTH_YEAR", birth_month="AIQ_BIRTH_MONTH",
+    people="AIQ_PEOPLE_IN_HH_V2", adults="AIQ_ADULTS_IN_HH_V2", source_tag="AIQ",
+    resolve_on=("AIQID", "AIQ_HHID"),
 )
 # Vendor B code book: delivered code -> label, as the vendor names them.
 DELIVERED_B_CODES = {
@@ -136,35 +143,44 @@ def flags_a(df: DataFrame, c: VendorAColumns = VendorAColumns()) -> DataFrame:
         D.flag_eq(F.col("EMPLOYMENT_STATUS_VALUE"), "F").alias("FULL_TIME_EMPLOYMENT"),
         D.flag_eq(F.col("EMPLOYMENT_STATUS_VALUE"), "P").alias("PART_TIME_EMPLOYMENT"),
         *[D.flag_in(edu, labels).alias(name) for name, labels in D.A_EDUCATION_FLAGS.items()],
+        F.col(c.people).alias("HOUSEHOLD_SIZE"),
+        F.col(c.adults).alias("NUMBER_OF_ADULTS_IN_HOUSEHOLD"),
         F.col(c.children).alias("NUMBER_OF_CHILDREN_IN_HOUSEHOLD"),
+        F.col(c.birth_month).alias("BIRTH_MONTH"),
         D.flag_positive(F.col(c.children)).alias("PRESENCE_OF_CHILDREN"),
     )
 
 
 A_OUTPUT = (
     "RESP_ID", "HHID", "INDID", "STATE_NAME", "FIPS_STATE", "BLOCK", "BLOCK_GROUP",
-    "BLOCK_ID", "BLOCK_GROUP_ID", "INCOME", "AGE", "BIRTH_YEAR",
+    "BLOCK_ID", "BLOCK_GROUP_ID", "INCOME", "AGE", "BIRTH_YEAR", "BIRTH_MONTH",
     "GENDER", "GENDER_VALUE", "MARITAL_STATUS", "MARITAL_STATUS_VALUE",
     "EMPLOYMENT", "EMPLOYMENT_STATUS_VALUE", "EDUCATION", "HISPANIC", "BLACK",
     "MALE", "FEMALE", "MARRIED", "SINGLE", "FULL_TIME_EMPLOYMENT", "PART_TIME_EMPLOYMENT",
     "SOME_HIGH_SCHOOL", "HIGH_SCHOOL_DIPLOMA", "BACHELORS_DEGREE", "SOME_COLLEGE",
-    "GRADUATE_DEGREE", "NUMBER_OF_CHILDREN_IN_HOUSEHOLD", "PRESENCE_OF_CHILDREN",
+    "GRADUATE_DEGREE", "HOUSEHOLD_SIZE", "NUMBER_OF_ADULTS_IN_HOUSEHOLD",
+    "NUMBER_OF_CHILDREN_IN_HOUSEHOLD", "PRESENCE_OF_CHILDREN",
     "FIPS_COUNTY_CODE", "FIPS_CENSUS_TRACT", "FIPS_BLOCK_GROUP", "DATA_SOURCE",
 )
 
 
 def normalise_a(pop: DataFrame, geo: DataFrame, blocks: DataFrame, id_res: DataFrame,
                 run_year: int, c: VendorAColumns = VendorAColumns(),
-                geo_state: str = "STATE_NAME", geo_fips: str = "FIPS_STATE") -> DataFrame:
-    """Vendor A population -> shared schema (``A_OUTPUT`` columns; the
-    person key keeps its vendor name ``c.hhid``/``c.indid``)."""
+                geo_state: str = "STATE_NAME", geo_fips: str = "FIPS_STATE",
+                resp: str = "RESP_ID") -> DataFrame:
+    """Vendor A population -> shared schema (``A_OUTPUT`` columns, the person
+    key under its vendor names) followed by every other delivered column,
+    in upper case. ``geo_state`` / ``geo_fips`` name the lookup's columns and
+    ``resp`` the respondent in the resolution file."""
+    pop = upcase_columns(pop)
     keys = [c.hhid, c.indid]
-    df = geo_lookup(pop, geo, c.state, geo_state, geo_fips)
-    df = block_lookup(df, blocks, keys)
+    geo = upcase_columns(geo).select(F.col(geo_state).alias("_GEO_STATE"), F.col(geo_fips).alias("FIPS_STATE"))
+    df = geo_lookup(pop, geo, c.state, "_GEO_STATE", "FIPS_STATE")
+    df = block_lookup(df, upcase_columns(blocks), keys)
     df = df.select(
         "*",
-        restate(F.col(geo_fips), F.col("BLOCK"), 15).alias("BLOCK_ID"),
-        restate(F.col(geo_fips), F.col("BLOCK_GROUP"), 12).alias("BLOCK_GROUP_ID"),
+        restate(F.col("FIPS_STATE"), F.col("BLOCK"), 15).alias("BLOCK_ID"),
+        restate(F.col("FIPS_STATE"), F.col("BLOCK_GROUP"), 12).alias("BLOCK_GROUP_ID"),
         D.income_from_thousands(F.col(c.income_k)).alias("INCOME"),
         D.age_from_birth_year(F.col(c.birth_year), run_year).alias("AGE"),
         F.col(c.birth_year).alias("BIRTH_YEAR"),
@@ -174,26 +190,36 @@ def normalise_a(pop: DataFrame, geo: DataFrame, blocks: DataFrame, id_res: DataF
                    legacy_group(F.col("BLOCK_GROUP_ID")).alias("FIPS_BLOCK_GROUP"),
                    F.lit(c.source_tag).alias("DATA_SOURCE"))
     df = flags_a(recode_a(df, c), c)
-    df = id_resolution(df, id_res, keys)
-    out = [F.col(c.hhid).alias(c.hhid) if x == "HHID" else
-           F.col(c.indid).alias(c.indid) if x == "INDID" else
-           F.col(c.state).alias("STATE_NAME") if x == "STATE_NAME" else F.col(x)
+    found = upcase_columns(id_res).select(*c.resolve_on, F.col(resp).alias("RESP_ID"))
+    df = id_resolution(df, found, list(c.resolve_on))
+    named = {"HHID": c.hhid, "INDID": c.indid, "STATE_NAME": c.state}
+    out = [F.col(named[x]).alias(x if x == "STATE_NAME" else named[x]) if x in named else F.col(x)
            for x in A_OUTPUT]
-    return df.select(*out)
+    taken = {x.upper() for x in A_OUTPUT} - {"HHID", "INDID"} | {c.hhid.upper(), c.indid.upper()}
+    return df.select(*out, *[F.col(x) for x in pop.columns if x not in taken])
 
 
 # ---------------------------------------------------------------- vendor B
 def label_b(pop: DataFrame, spec: VendorBSpec = VendorBSpec()) -> DataFrame:
-    """Keys + coded columns renamed to sanitised labels, plus ``FIPS``."""
-    codes = {k: v for k, v in spec.codes.items() if k in pop.columns}
-    df = rename_columns(pop.select(*spec.keys, *codes), codes)
-    lab = {sanitise_name(v): v for v in codes.values()}
-    df = df.select("*", fips_concat(*[F.col(lab[x]) for x in
-                                      ("FIPS_STATE_CODE", "FIPS_COUNTY_CODE", "CENSUS_TRACT",
-                                       "CENSUS_BLOCK_GROUP") if x in lab]).alias("FIPS"))
+    """Keys + coded columns renamed to sanitised labels, plus ``FIPS``. Names
+    are matched in any case; a code column that was not delivered is an
+    error, not a shorter result."""
+    pop = upcase_columns(pop)
+    codes = {k.upper(): v for k, v in spec.codes.items()}
+    keys = [k.upper() for k in spec.keys]
+    absent = sorted({*keys, *codes} - {*pop.columns})
+    if absent:
+        raise ValueError(f"columns not delivered: {absent}")
+    df = rename_columns(pop.select(*keys, *codes), codes)
+    label = {sanitise_name(v): v for v in codes.values()}
+    df = df.select("*", fips_concat(*[F.col(f"`{label[x]}`") for x in FIPS_PARTS]).alias("FIPS"))
     return sanitise_columns(df)
 
 
+#: Parts of a block group's code, in order.
+FIPS_PARTS = ("FIPS_STATE_CODE", "FIPS_COUNTY_CODE", "CENSUS_TRACT", "CENSUS_BLOCK_GROUP")
+
+
 def recode_b(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
@@ -236,10 +262,13 @@ B_OUTPUT = (
 )
 
 
-def normalise_b(pop: DataFrame, id_res: DataFrame, spec: VendorBSpec = VendorBSpec()) -> DataFrame:
-    """Vendor B coded population -> shared schema (``B_OUTPUT`` columns)."""
-    hk, ik = spec.keys
-    df = flags_b(recode_b(label_b(pop, spec)))
+def normalise_b(pop: DataFrame, id_res: DataFrame, spec: VendorBSpec = VendorBSpec(),
+                resp: str = "RESP_ID") -> DataFrame:
+    """Vendor B coded population -> shared schema (``B_OUTPUT`` columns)
+    followed by every other labelled column."""
+    keys = [k.upper() for k in spec.keys]
+    labelled = label_b(pop, spec)
+    df = flags_b(recode_b(labelled))
     df = df.select(
         "*",
         F.col("NUMBER_OF_PEOPLE_IN_HOUSEHOLD").try_cast("int").alias("HOUSEHOLD_SIZE"),
@@ -250,11 +279,11 @@ def normalise_b(pop: DataFrame, id_res: DataFrame, spec: VendorBSpec = VendorBSp
         F.col("FIPS").alias("BLOCK_GROUP"),
         F.lit(spec.source_tag).alias("DATA_SOURCE"),
     ).withColumn("AGE", F.col("AGE").try_cast("int"))
-    df = id_resolution(df, id_res, [hk.upper(), ik.upper()] if hk.upper() in df.columns else [hk, ik])
-    out = [F.col(hk.upper() if hk.upper() in df.columns else hk).alias(hk) if x == "HHID" else
-           F.col(ik.upper() if ik.upper() in df.columns else ik).alias(ik) if x == "INDID" else F.col(x)
-           for x in B_OUTPUT]
-    return df.select(*out)
+    df = id_resolution(df, upcase_columns(id_res).select(*keys, F.col(resp).alias("RESP_ID")), keys)
+    named = dict(zip(("HHID", "INDID"), keys))
+    out = [F.col(named.get(x, x)) for x in B_OUTPUT]
+    taken = {*B_OUTPUT, *keys}
+    return df.select(*out, *[F.col(x) for x in labelled.columns if x not in taken])
 
 
 # ---------------------------------------------------------------- stacked

@@ -341,7 +341,7 @@ def q_block_codes(spark, sf):
 
 @query
 def q_fips_concat(spark, sf):
-    return N.label_b(Run(spark, sf).fx.coded_b).select("B_HHID", "B_INDID", "FIPS")
+    return N.label_b(Run(spark, sf).fx.population_b()).select("B_HHID", "B_INDID", "FIPS")
 
 
 @query

@@ -38,3 +38,20 @@ def publish_views(spark: SparkSession, history: DataFrame, name: str,
         members_of(history, snap, spec).createOrReplaceTempView(f"{name}_{label}")
         made.append(f"{name}_{label}")
     return made
+
+
+def publish_stored_views(spark: SparkSession, table: str, name: str,
+                         snapshots: Mapping[str, str] | None = None,
+                         spec: HistorySpec = HistorySpec()) -> list[str]:
+    """Persistent views over a stored history table, for other sessions:
+    ``<name>_latest`` (rows with the newest version of their person) and
+    ``<name>_<label>`` (history of the persons in each stored snapshot table).
+    They hold no rows and follow the table."""
+    keys = ", ".join(f"`{k}`" for k in spec.keys)
+    made = {f"{name}_latest": f"SELECT * FROM {table} WHERE ({keys}, `{spec.created}`) IN "
+                              f"(SELECT {keys}, max(`{spec.created}`) FROM {table} GROUP BY {keys})"}
+    for label, stored in (snapshots or {}).items():
+        made[f"{name}_{label}"] = f"SELECT * FROM {table} WHERE ({keys}) IN (SELECT {keys} FROM {stored})"
+    for view, query in made.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
+    return list(made)

@@ -119,6 +119,8 @@ class Fixtures:
              .when(pk % 6 == 4, "Other").alias("A_EDUCATION"),
             F.when(pk % 4 == 0, "Y").when(pk % 4 == 1, "F").when(pk % 4 == 2, "W").alias("A_ETHNIC"),
             F.when(pk % 7 == 0, none).otherwise(txt(pk % 3)).alias("A_CHILDREN"),
+            txt(1 + pk % 6).alias("A_PEOPLE"), txt(1 + pk % 3).alias("A_ADULTS"),
+            txt(1 + pk % 12).alias("A_BIRTH_MONTH"),
         ]
 
     @cached_property

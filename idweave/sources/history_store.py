@@ -46,18 +46,43 @@ class HistoryStore:
         return next_version(self.spark, self.root)
 
     def read(self, as_of: int | None = None, with_version: bool = False) -> DataFrame:
-        df = self.spark.table(self.table) if self.table else self.spark.read.parquet(self.root)
+        df = (self.spark.table(self.table) if self.table
+              else self.spark.read.option("mergeSchema", True).parquet(self.root))
         if as_of is not None:
             df = df.where(F.col(VERSION_COL) <= as_of)
         return df if with_version else df.drop(VERSION_COL)
 
+    def has_version(self, version: int) -> bool:
+        return path_exists(self.spark, f"{self.root}/{VERSION_COL}={version}/_SUCCESS" if not self.table
+                           else f"{self.root}/{VERSION_COL}={version}")
+
+    def _fitted(self, delta: DataFrame) -> DataFrame:
+        """``delta`` with the stored table's columns; columns that are new in
+        it are added to the table."""
+        if not self.exists():
+            return delta
+        stored = {f.name.upper(): f for f in self.spark.table(self.table).schema if f.name != VERSION_COL}
+        given = {c.upper() for c in delta.columns}
+        added = [f for f in delta.schema if f.name.upper() not in stored]
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            self.spark.sql(f"ALTER TABLE {self.table} ADD COLUMNS ({columns})")
+        return delta.select("*", *[F.lit(None).cast(f.dataType).alias(f.name)
+                                   for name, f in stored.items() if name not in given])
+
     def append(self, delta: DataFrame, version: int | None = None) -> int:
-        """Write ``delta`` as version ``version`` (default: next free)."""
+        """Write ``delta`` as version ``version`` (default: next free). Columns
+        may come and go between versions: a reader sees all of them, null
+        where a version has none. A bucketed version is dealt by the key
+        first, so it has one file per bucket at most."""
         v = self.next_version() if version is None else version
         path = f"{self.root}/{VERSION_COL}={v}"
         if path_exists(self.spark, path):
             raise FileExistsError(f"history version {v} already written")
         if self.table:
+            delta = self._fitted(delta)
+            if self.bucketed:
+                delta = delta.repartition(self.buckets, *self.keys)
             w = (delta.withColumn(VERSION_COL, F.lit(v)).write.mode("append").format("parquet")
                  .partitionBy(VERSION_COL).option("path", self.root))
             if self.bucketed:

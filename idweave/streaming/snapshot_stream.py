@@ -5,10 +5,11 @@ incremental job by hand for each. The Spark-native form is a file stream
 over the landing folder with ``foreachBatch``: each micro-batch holds the
 rows of newly arrived snapshot files; every snapshot in it (identified by
 a version column, or the whole batch) is applied in order with
-``advance_delta`` and appended to the history store as one write. The
-stream's checkpoint records which files were consumed, so a restarted job
-(or one that lost executors) neither skips nor re-applies a snapshot;
-``availableNow`` turns it into a batch run over whatever has arrived.
+``advance_delta`` and appended to the history store as one write, under the
+snapshot's own number. ``foreachBatch`` may run a batch again after a
+failure; a snapshot whose version is already stored is then skipped, so
+each is applied once. ``availableNow`` turns the stream into a batch run over
+whatever has arrived.
 """
 
 from __future__ import annotations
@@ -24,14 +25,17 @@ from idweave.sources.history_store import HistoryStore
 
 
 def advance_batch(batch: DataFrame, store: HistoryStore, spec: HistorySpec, quarter: str,
-                  created, meta: Mapping | None = None) -> int:
+                  created, meta: Mapping | None = None, version: int | None = None) -> int:
     """Apply one snapshot to the store: initial load when the store is
-    empty, else the delta against the whole stored history."""
+    empty, else the delta against the whole stored history. A ``version``
+    that is already stored is left as it is."""
+    if version is not None and store.exists() and store.has_version(version):
+        return version
     if not store.exists():
-        return store.append(initial_history(batch, spec, quarter, created, meta))
+        return store.append(initial_history(batch, spec, quarter, created, meta), version)
     delta = advance_delta(store.read(), batch, spec, quarter, created, meta,
                           partitions=store.buckets if store.bucketed else None)
-    return store.append(delta)
+    return store.append(delta, version)
 
 
 def advance_from_stream(spark: SparkSession, landing: str, schema: StructType, store_root: str,
@@ -54,10 +58,12 @@ def advance_from_stream(spark: SparkSession, landing: str, schema: StructType, s
                 versions = sorted(r[0] for r in batch.select(version_col).distinct().collect())
                 for v in versions:
                     snap = batch.where(F.col(version_col) == v).drop(version_col)
-                    advance_batch(snap, store, spec, quarter_of(v), int(v), {"snapshot": int(v)})
+                    advance_batch(snap, store, spec, quarter_of(v), int(v), {"snapshot": int(v)},
+                                  version=int(v))
             else:
-                v = store.next_version()
-                advance_batch(batch, store, spec, quarter_of(v), v, {"snapshot": v})
+                # the batch number is the version: a batch run again has the same
+                advance_batch(batch, store, spec, quarter_of(batch_id), batch_id,
+                              {"snapshot": batch_id}, version=batch_id)
         finally:
             batch.unpersist()
 

@@ -101,7 +101,7 @@ def test_history_store_and_stream(spark, tmp_path):
     hist = store.read()
     assert hist.count() == 3          # A; then B (changed) and k (new); v3 adds nothing
     assert sorted(r.RESP_ID for r in latest(hist, HistorySpec()).collect()) == ["A", "B"]
-    assert store.read(as_of=0).count() == 1
+    assert store.read(as_of=0).count() == 0 and store.read(as_of=1).count() == 1
     # restart: the stream checkpoint remembers the consumed files
     q2 = advance_from_stream(spark, str(landing) + "/*", schema, store_root,
                              str(tmp_path / "ckpt"), spec=HistorySpec())
@@ -149,6 +149,9 @@ def test_bucketed_history_store_never_shuffles_the_history(spark, tmp_path):
             parts = st.buckets if st.bucketed else None
             st.append(H.advance_delta(st.read(), fx.match(v), spec, f"Q{v}", v, partitions=parts))
     assert store.next_version() == 3
+    for v in range(3):   # one file per bucket and version at most
+        files = [f for f in os.listdir(tmp_path / "hist_bk" / f"v={v}") if f.endswith(".parquet")]
+        assert len(files) <= 4
     a, b = store.read(), plain.read()
     assert a.count() == 369 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -167,3 +170,67 @@ def test_bucketed_history_store_never_shuffles_the_history(spark, tmp_path):
         assert "Exchange hashpartitioning" not in lt._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _linked(spark, rows):
+    return spark.createDataFrame(rows, "RESP_ID string, B_HHID string, B_INDID string, PERSON_ID string, "
+                                       "CREATED int, A_PAIR string")
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_store_keeps_columns_that_versions_add(spark, tmp_path, buckets):
+    table = f"idw_evolve_{buckets}" if buckets else None
+    store = HistoryStore(spark, str(tmp_path / "h"), table=table, buckets=buckets)
+    linked = _linked(spark, [("A", "h", "1", "p", 2, "5_1")])
+    store.append(linked.drop("A_PAIR").withColumn("CREATED", linked["CREATED"] - 1))
+    store.append(linked)
+    store.append(linked.drop("A_PAIR"))
+    got = sorted((r.CREATED, r.A_PAIR) for r in store.read().collect() if r.A_PAIR) 
+    assert got == [(2, "5_1")] and store.read().count() == 3
+
+
+def test_replayed_batch_adds_nothing(spark, tmp_path):
+    from idweave.streaming.snapshot_stream import advance_batch
+    batch = spark.createDataFrame([("A", None, "1"), ("B", "h", None), ("C", "h", "1")],
+                                  "RESP_ID string, B_HHID string, B_INDID string")
+    store = HistoryStore(spark, str(tmp_path / "h"))
+    for _ in range(3):
+        assert advance_batch(batch, store, HistorySpec(), "Q1", 1, version=1) == 1
+    assert store.read().count() == 3 and store.next_version() == 2
+    for v in (2, 3):
+        advance_batch(batch, store, HistorySpec(), f"Q{v}", v, version=v)
+    assert store.read().count() == 3
+    assert store.read().where("PERSON_ID is null").count() == 0
+
+
+def test_stored_views_outlive_their_session(spark, tmp_path):
+    from idweave.sources.catalog import publish_stored_views, save_table
+    rows = [("A", "h", "1", "p", 1, None), ("B", "h", "1", "p", 2, None), ("C", "k", "1", "q", 1, None),
+            ("D", None, "1", "r", 9, None)]
+    save_table(_linked(spark, rows), "idw_pv", path=str(tmp_path / "t"))
+    save_table(_linked(spark, rows[2:3]).select("B_HHID", "B_INDID"), "idw_pv_snap", path=str(tmp_path / "s"))
+    assert publish_stored_views(spark, "idw_pv", "idw_pv", {"v2": "idw_pv_snap"}) == ["idw_pv_latest", "idw_pv_v2"]
+    other = spark.newSession()
+    assert sorted(r.RESP_ID for r in other.table("idw_pv_latest").collect()) == ["B", "C"]
+    assert [r.RESP_ID for r in other.table("idw_pv_v2").collect()] == ["C"]
+
+
+def test_checkpoint_folder_is_never_local_on_a_cluster(spark, monkeypatch):
+    from idweave import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
