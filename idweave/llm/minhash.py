@@ -21,7 +21,10 @@
    of a class's n shingles only s occur anywhere else, so with a partner of
    n' shingles it must hold that 7 * min(s, s') >= 3 * (n + n'). Lists are
    joined on buckets of n and of the largest n' that s allows, so pairs
-   that fail this are not made. No candidate pair is dropped otherwise.
+   that fail this are not made. The s shingles are also counted by ``PARTS``
+   hash parts: two sets share at most the sum of the lesser counts, which
+   rules out copies that were changed in different places. No candidate
+   pair is dropped otherwise.
 
 Defined cases: null and empty texts have no shingles and link with nothing,
 each is a component of its own; a text of fewer than five words is one
@@ -50,6 +53,8 @@ COORDS = 32
 MATCHES = 12
 #: Ratio of the bounds of a length bucket.
 BUCKET = 1.1
+#: Hash parts by which shared shingles are counted.
+PARTS = 32
 _SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (2, COORDS), dtype=np.uint64)
 _SEEDS[0] |= np.uint64(1)
 
@@ -153,6 +158,12 @@ def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "shingle": np.concatenate(sets).view(np.int64)})
 
 
+def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        parts = [np.bincount((shingles(t) % np.uint64(PARTS)).astype(int), minlength=PARTS) for t in batch["text"]]
+        yield pd.DataFrame({"class_no": batch["class_no"], "parts": parts})
+
+
 def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: DataFrame,
                scratch: Scratch) -> DataFrame:
     """(a, b): pairs that share a list, are in different components and may
@@ -162,24 +173,35 @@ def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: D
     mixed_ = here.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("key")
     open_ = scratch.save(here.join(scratch.save(mixed_), "key"))
     members = scratch.save(open_.select("class_no").distinct())
-    alone = (texts.join(members, "class_no").mapInPandas(_shingle_rows, "class_no long, shingle long")
+    theirs = scratch.save(texts.join(members, "class_no"))
+    # as an unsigned number modulo PARTS, a power of two: the low bits
+    part = F.col("shingle").bitwiseAND(F.lit(PARTS - 1)).cast("int")
+    alone = (theirs.mapInPandas(_shingle_rows, "class_no long, shingle long")
              .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class_no").alias("class_no"))
-             .where("n = 1").groupBy("class_no").agg(F.count(F.lit(1)).alias("alone")))
-    sized = (classes.select("class_no", F.col("n_shingles").alias("n")).join(members, "class_no")
-             .join(alone, "class_no", "left").withColumn("s", F.col("n") - F.coalesce("alone", F.lit(0)))
+             .where("n = 1").groupBy("class_no").agg(*[
+                 F.count(F.when(part == k, 1)).cast("int").alias(f"p{k}") for k in range(PARTS)])
+             .select("class_no", F.array(*[f"p{k}" for k in range(PARTS)]).alias("alone")))
+    sized = (theirs.mapInPandas(_profile, "class_no long, parts array<int>")
+             .join(classes.select("class_no", F.col("n_shingles").alias("n")), "class_no")
+             .join(alone, "class_no", "left")
+             .withColumn("v", F.when(F.col("alone").isNull(), F.col("parts")).otherwise(
+                 F.zip_with("parts", "alone", lambda p, q: p - q)))
+             .withColumn("s", F.aggregate("v", F.lit(0), lambda a, x: a + x).cast("long"))
              .withColumn("most", F.floor(F.col("s") * 7 / 3).cast("long") - F.col("n"))
-             .where("4 * most >= 3 * n").select("class_no", "n", "most"))
+             .where("4 * most >= 3 * n").select("class_no", "n", "most", "v"))
     rows = open_.join(scratch.save(sized), "class_no")
     bucket = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BUCKET)) + 1e-9).cast("int")
     least, most = F.ceil(F.col("n") * 3 / 4), F.least("most", F.floor(F.col("n") * 4 / 3))
     long = rows.withColumn("short", F.explode(F.sequence(bucket(least), bucket(F.least("most", "n"))))).select(
         "key", "short", bucket(F.col("n")).alias("long"), F.col("class_no").alias("a"), F.col("c").alias("ca"),
-        F.col("n").alias("na"), F.col("most").alias("ma"))
+        F.col("n").alias("na"), F.col("most").alias("ma"), F.col("v").alias("va"))
     short = rows.where("most >= n").withColumn("long", F.explode(F.sequence(bucket(F.col("n")), bucket(most)))).select(
         "key", bucket(F.col("n")).alias("short"), "long", F.col("class_no").alias("b"), F.col("c").alias("cb"),
-        F.col("n").alias("nb"), F.col("most").alias("mb"))
+        F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("v").alias("vb"))
+    shared = sum((F.least(F.get("va", F.lit(k)), F.get("vb", F.lit(k))) for k in range(PARTS)), F.lit(0))
     met = (scratch.save(long).join(scratch.save(short), ["key", "short", "long"])
-           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)"))
+           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)")
+           .where(7 * shared >= 3 * (F.col("na") + F.col("nb"))))
     return scratch.save(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
