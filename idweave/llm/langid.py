@@ -42,7 +42,8 @@ DOCS_PER_LANGUAGE = 1_500
 SWITCH = 14.0
 FOLDS, HELD_OUT = 3, 1
 LEAST_USE = 0.005
-CELLS = 1 << 21
+#: Word scores per step of Viterbi's groups, and held at once by a task.
+CELLS, HELD_CELLS = 1 << 21, 1 << 24
 ADDED = ("held_out", "lang_pred", "score", "spans")
 #: First code points of script ranges (Unicode blocks), by name.
 SCRIPTS = (
@@ -219,8 +220,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a in range(0, len(batch), 2000):
-                part = batch.iloc[a:a + 2000]
+            # a text has at most one word per two characters
+            cells = np.cumsum([(len(t or "") // 2 + 1) * max(1, len(model.names)) for t in batch["text"]])
+            for _, part in batch.groupby(cells // HELD_CELLS, sort=True):
                 found = model.label(list(part["text"]))
                 yield part.assign(
                     lang_pred=[f[0] for f in found], score=[f[1] for f in found],
