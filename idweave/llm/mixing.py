@@ -106,7 +106,8 @@ def mix_plan(docs: DataFrame, seed: int = 0, buckets: int = BUCKETS,
     starts = (cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
               .join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
               .select(F.col("source").alias("_s"), F.col("_class").alias("_k"),
-                      F.col("_cell").alias("_c"), "_before", "source_size", "target", "rate",
+                      F.col("_cell").alias("_c"), "_before", "source_size", "target",
+                      F.col("rate").alias("_rate"),
                       offset.alias("_offset")))
     starts = scratch.save(starts)
     within = (Window.partitionBy(*cell)
@@ -115,8 +116,8 @@ def mix_plan(docs: DataFrame, seed: int = 0, buckets: int = BUCKETS,
             & (F.col("_cell") == F.col("_c")))
     ranked = sized.withColumn("_rank", F.row_number().over(within)).join(starts, same)
     at = F.col("_before") + F.col("_rank")
-    copies = (F.floor(F.col("_offset") + F.col("rate") * at)
-              - F.floor(F.col("_offset") + F.col("rate") * (at - 1)))
+    copies = (F.floor(F.col("_offset") + F.col("_rate") * at)
+              - F.floor(F.col("_offset") + F.col("_rate") * (at - 1)))
     out = (ranked.withColumn("copies", copies.cast("int"))
            .withColumn("taken", F.col("copies") * F.col("size")))
     return out.select(*[c for c in docs.columns if c in carried], *ADDED)

@@ -73,13 +73,13 @@ def test_emits_the_copies(spark):
 def test_defined_cases(spark):
     odd = [(1, None, None, None, None), (1, None, None, None, None), (None, "a b", "en", "s", 1),
            (None, "a b", "en", "s", 1), (4, "", None, "t", 0), (5, "x " * 60000, "en", "s", 1)]
-    got = mixing.mix_plan(spark.createDataFrame([r + (9, 8) for r in odd],
-                                                DOCS + ", size long, _extra long")).collect()
+    got = mixing.mix_plan(spark.createDataFrame([r + (9, 8, 7, 6) for r in odd],
+                                                DOCS + ", size long, _extra long, rate long, level long")).collect()
     assert len(got) == 6
     assert sorted((r.doc_id is None, r.doc_id, r["size"]) for r in got if r.doc_id) == [
         (False, 1, 0), (False, 1, 0), (False, 4, 0), (False, 5, 60000)]
     assert sum(r.taken for r in got if r.source == "t" or r.source is None) == 0
-    assert got[0]._extra == 8
+    assert (got[0]._extra, got[0].rate, got[0].level) == (8, 7, 6)
     assert mixing.mix_plan(spark.createDataFrame([], DOCS)).count() == 0
 
 
