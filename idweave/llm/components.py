@@ -1,9 +1,11 @@
 """Connected components of a link table, by contraction.
 
-Every round hooks each node to its smallest neighbour, follows the hooks
-a few steps, and replaces the ends of all links by what they were hooked
-to. A hub's neighbours are reduced by partial aggregates, never gathered.
-The driver sees one number a round: how many links are left.
+Every round puts the nodes in a new random order, hooks each to its first
+neighbour if that comes before it, follows the hooks a few steps, and
+replaces the ends of all links by what they were hooked to. In a random
+order chains of hooks are short, so also long paths shrink by a factor every
+round. A hub's neighbours are reduced by partial aggregates, never gathered.
+The driver sees one bit a round: whether links are left.
 """
 
 from __future__ import annotations
@@ -29,10 +31,13 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
                          .where("a <> b").distinct())
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     labels = scratch.save(ends.withColumn("component", F.col("node")))
+    turn = 0
     while links.limit(1).count():
+        turn += 1
+        place = lambda node: F.struct(F.xxhash64(node, F.lit(turn)).alias("rank"), F.col(node).alias("node"))
         both = links.select("a", "b").union(links.select("b", "a"))
-        hooks = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-                             .select("node", F.least("node", "least").alias("hook")))
+        hooks = scratch.save(both.groupBy("a").agg(F.min(place("b")).alias("first"))
+                             .select(F.col("a").alias("node"), F.least(place("a"), F.col("first"))["node"].alias("hook")))
         step = hooks
         for _ in range(3):
             step = _follow(step, hooks)

@@ -1,5 +1,4 @@
 import math
-import zlib
 from collections import defaultdict
 
 import numpy as np
