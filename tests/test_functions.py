@@ -1,7 +1,5 @@
 """Column expressions on tiny in-line rows: nulls, blanks, bad text."""
 
-from pyspark.sql import functions as F
-
 from idweave.functions import demographics as D
 from idweave.functions.ids import pair_key, person_id, split_part, split_part_or_blank
 from idweave.functions.text import clean_label, non_blank, zero_pad
