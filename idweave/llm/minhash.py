@@ -258,4 +258,27 @@ def dedup(docs: DataFrame) -> DataFrame:
             .select(*docs.columns))
 
 
+#: ``near_duplicates`` in DuckDB's SQL, from the definition: shingles in common
+#: counted for all pairs that have any, then reachability. For small tables.
+MINHASH_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x20\\x09-\\x0D]+') AS w FROM {documents}),
+words AS (SELECT r, len(w) AS total, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM d),
+runs AS (SELECT r, p, total, string_agg(word, ' ') OVER f AS k, count(*) OVER f AS n FROM words
+         WINDOW f AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+sets AS MATERIALIZED (SELECT DISTINCT r, md5(k) AS k FROM runs WHERE n = 5 OR (total < 5 AND p = 1)),
+sizes AS (SELECT r, count(*) AS n FROM sets GROUP BY r),
+common AS (SELECT x.r AS a, y.r AS b, count(*) AS n FROM sets x JOIN sets y ON x.k = y.k AND x.r <> y.r GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM common c JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b
+                       WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS r, min(o.doc_id) AS component_id FROM reach JOIN d o ON o.r = reach.b GROUP BY reach.a)
+SELECT d.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, component_id,
+  d.doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM d JOIN least USING (r) LEFT JOIN sizes USING (r)
+"""
+
+
 ship(__name__)

@@ -85,6 +85,8 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_minhash": minhash.MINHASH_SQL.format(documents="documents"),
+    "op6_substring_dedup": substring_dedup.SUBSTRING_SQL.format(documents="documents"),
     "op10_chat": f"""SELECT conv_id, floor(turn / {chat.PARTS})::BIGINT AS chunk,
         (row_number() OVER (PARTITION BY conv_id, floor(turn / {chat.PARTS}) ORDER BY turn) - 1)::BIGINT AS at,
         role, md5('<|' || role || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10)) AS rendered_md5

@@ -264,4 +264,22 @@ def dedup(docs: DataFrame) -> DataFrame:
             .withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns))
 
 
+#: ``removals`` in DuckDB's SQL, from the definition: every window's text counted.
+SUBSTRING_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+             regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM {documents}),
+words AS (SELECT r, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM d),
+spans AS (SELECT r, p, word, string_agg(word, ' ') OVER f AS k, count(*) OVER f AS n FROM words
+          WINDOW f AS (PARTITION BY r ORDER BY p ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)),
+counted AS (SELECT r, p, word, n = 35 AND count(*) OVER (PARTITION BY md5(k), n) > 1 AS again FROM spans),
+judged AS (SELECT r, p, word, bool_or(again) OVER (PARTITION BY r ORDER BY p
+             ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM counted),
+kept AS (SELECT r, count(*) FILTER (gone) AS n_removed,
+           string_agg(word, ' ' ORDER BY p) FILTER (NOT gone) AS kept FROM judged GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
+
 ship(__name__)
