@@ -54,7 +54,7 @@ MATCHES = 12
 #: Ratio of the bounds of a length bucket.
 BUCKET = 1.1
 #: Hash parts by which shared shingles are counted.
-PARTS = 32
+PARTS = 64
 _SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (2, COORDS), dtype=np.uint64)
 _SEEDS[0] |= np.uint64(1)
 
