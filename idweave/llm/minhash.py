@@ -41,7 +41,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from idweave.llm.common import Scratch, ship, window_hashes, word_hashes, words_of
@@ -216,8 +216,9 @@ def link_components(classes: DataFrame, posted: DataFrame, texts: DataFrame,
     return components(links.union(rest), scratch)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept (one row per row) + th."""
+def labelled(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, th and c (one row per row);
+    ``c`` is the component's own key, null for texts without words."""
     scratch = Scratch(docs.sparkSession, "minhash")
     signed = scratch.save(sign(docs))
     classes = scratch.save(
@@ -238,24 +239,33 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     label = label.join(known.withColumnRenamed("node", "class_no"), "class_no", "left").withColumn(
         "c", F.coalesce("component", "class_no"))
     least = label.groupBy("c").agg(F.min("least_id").alias("component_id"))
-    label = scratch.save(label.join(least, "c").select("digest", "component_id"))
+    label = scratch.save(label.join(least, "c").select("digest", "component_id", "c"))
     out = signed.join(label, "digest", "left").withColumn(
         "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
     return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "th")
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "th", "c")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept (one row per row) + th."""
+    return labelled(docs).drop("c")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each component: the one of the smallest id;
-    of rows that repeat its id, one. Texts without words all stay."""
-    found = near_duplicates(docs).where("kept").groupBy(
-        F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("component_id").alias("_c")).agg(
-        F.max("n_shingles").alias("_n"))
-    th = F.xxhash64("text")
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (th == F.col("_th")))
-    one = Window.partitionBy("_id", "_c").orderBy("_th")
-    return (joined.withColumn("_row", F.row_number().over(one)).where("_row = 1 or _n = 0")
-            .select(*docs.columns))
+    """``docs`` with one row of each component: the one of the smallest id,
+    of the texts under that id the one of least hash, of equal rows any.
+    Texts without words all stay."""
+    alone = F.col("c").isNull()
+    each = labelled(docs).where("kept").groupBy("c", "doc_id", "th").agg(F.count(F.lit(1)).alias("n"))
+    found = (each.groupBy("c", F.when(alone, F.struct("doc_id", "th")).alias("own"))
+             .agg(F.min(F.struct("doc_id", "th", "n")).alias("l"))
+             .select(F.col("l.doc_id").alias("_id"), F.col("l.th").alias("_th"), F.col("c").alias("_c"),
+                     (~alone & (F.col("l.n") > 1)).alias("_again")))
+    found = Scratch(docs.sparkSession, "minhash").save(found)
+    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")))
+    # only rows that repeat id and text need to meet, map sides first
+    again = joined.where("_again").groupBy("_c").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return joined.where("not _again").select(*docs.columns).unionAll(again.select("_row.*"))
 
 
 #: ``near_duplicates`` in DuckDB's SQL, from the definition: shingles in common

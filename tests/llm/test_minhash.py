@@ -91,5 +91,13 @@ def test_dedup_keeps_one_of_each_group(spark, frame):
     assert {r.th for r in out.collect()} == {"clash"}
 
 
+def test_dedup_keeps_each_component_of_a_null_or_repeated_id(spark, frame):
+    texts = [" ".join(f"{k}-{i}" for i in range(20)) for k in range(12)]
+    rows = [(None, t) for t in texts[:6]] + [(7, t) for t in texts[6:]]
+    rows += [(None, texts[0]), (None, texts[1].upper()), (7, texts[6]), (8, texts[7]), (None, texts[8]), (None, ""), (None, "")]
+    out = sorted((str(r.doc_id), r.text.lower()) for r in minhash.dedup(frame(rows)).collect())
+    assert out == sorted([("None", t) for t in texts[:6]] + [("7", t) for t in texts[6:]] + [("None", "")] * 2)
+
+
 def test_empty_table(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
