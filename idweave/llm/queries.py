@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.llm import chat, decontaminate, langid, line_dedup, minhash, mixing, quality, substring_dedup, toxicity, vectors
+from idweave.llm import (chat, decontaminate, html_text, langid, line_dedup, minhash, mixing, periodic, phrases, quality,
+                         substring_dedup, toxicity, vectors)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +72,31 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.md5(chat.render(F.col("role"), F.col("text")).cast("binary")).alias("rendered_md5"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text's runs; one text in ten gets a periodic tail."""
+    found = periodic.runs(_table(spark, sf_dir, "documents"), words=periodic.planted_words)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"),
+                                                              (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"),
+                                                   F.lit(","), r.period.cast("string"), F.lit("\n")))
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                       F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                       F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return out.select("doc_id", "n_runs", (-F.col("best.start")).alias("start"), length.alias("length"),
+                      period.alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+                      "runs_sha256", "collapsed_sha256")
+
+
+def op12_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_text.extract(_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.first_of_each(phrases.collocations(_table(spark, sf_dir, "documents")))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_toxicity": op2_toxicity,
@@ -82,6 +108,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_html": op12_html,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE: dict[str, str] = {
@@ -94,6 +123,7 @@ ORACLE: dict[str, str] = {
     "op3_mixing": mixing.MIX_SQL.format(
         documents="documents",
         columns="doc_id, size, source_size, target, copies * size AS taken"),
+    "op13_phrases": phrases.PHRASE_SQL.format(documents="documents"),
     "op8_line_dedup": line_dedup.LINE_SQL.format(
         documents="documents",
         columns="""o.doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines,
