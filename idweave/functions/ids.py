@@ -10,6 +10,8 @@ there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,3 +65,12 @@ def split_part_or_blank(value: ColumnLike, index: int, sep: str = PAIR_SEP) -> C
 def _regex_literal(sep: str) -> str:
     special = set(".^$*+?()[]{}|\\")
     return "".join("\\" + ch if ch in special else ch for ch in sep)
+
+
+def key_hash(columns: Sequence[str], seed: int = 0) -> Column:
+    """A 64-bit hash of a key. Which parts are null is part of it, so that
+    (null, 'a') and ('a', null) differ; equal keys with equal nulls agree."""
+    parts = [F.lit(seed)]
+    for c in columns:
+        parts += [F.col(c).isNull(), F.col(c)]
+    return F.xxhash64(*parts)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from idweave.functions.ids import null_person_id, person_id
 from idweave.functions.meta import meta_literal
+from idweave.operators import sketches
 from idweave.operators.joins import keyed_join
 
 
@@ -197,6 +198,23 @@ def advance_delta(history: DataFrame, match: DataFrame, spec: HistorySpec, quart
     return out.unionByName(odd) if partitions else out
 
 
+def advance_delta_pruned(history: DataFrame, match: DataFrame, spec: HistorySpec, quarter: str, created,
+                         meta: Mapping | None = None, bits: int = sketches.BITS, compare_to: str = "all",
+                         with_kind: bool = False) -> DataFrame:
+    """``advance_delta`` of the history rows whose person may be in the
+    snapshot. What is recorded of other persons decides nothing, so a Bloom
+    filter of the snapshot's keys (``bits / 8`` bytes, null parts included)
+    keeps these rows out of the shuffle; the advance itself stays exact. The
+    snapshot is read once more for the filter."""
+    return advance_delta(concerned(history, match, spec, bits), match, spec, quarter, created, meta,
+                         compare_to=compare_to, with_kind=with_kind)
+
+
+def concerned(history: DataFrame, match: DataFrame, spec: HistorySpec, bits: int = sketches.BITS) -> DataFrame:
+    """The history rows of persons that may be in the snapshot."""
+    return sketches.maybe_in(history, sketches.key_filter(match, spec.keys, bits), spec.keys, bits)
+
+
 #: What ``_summary`` knows of a key: its recorded id, recorded respondents,
 #: newest recorded (created, respondent) and least snapshot row.
 SUMMARY = ("_pid", "_recorded", "_last", "_first")

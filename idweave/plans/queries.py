@@ -16,14 +16,17 @@ from idweave.functions.geo import geo_parts, legacy_group, legacy_tract, restate
 from idweave.functions.demographics import age_from_birth_year, income_from_thousands
 from idweave.functions.text import zero_pad
 from idweave.operators import audit as AU
+from idweave.operators import digests as D
 from idweave.operators import history as H
 from idweave.operators import linking as L
 from idweave.operators import normalise as N
+from idweave.operators import sketches as SK
 from idweave.operators.columns import repair_columns, upcase_columns
 from idweave.operators.lookups import block_lookup, geo_lookup, id_resolution
-from idweave.session import configure
+from idweave.session import configure, scratch_path
 from idweave.sources.fixtures import Fixtures
-from idweave.sources.snapshots import union_snapshots
+from idweave.sources.latest_store import LatestStore
+from idweave.sources.snapshots import read_run, union_snapshots, write_runs, write_snapshots
 
 # --- fixed run parameters of the registered queries ------------------------
 RUN_YEAR = 2024
@@ -36,6 +39,8 @@ PERSON_KEY = {"B_HHID": "T10", "B_INDID": "3"}
 SPEC = H.HistorySpec()
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
+#: Queries over stored tables, which they write while they are built.
+STORED: set[str] = set()
 
 
 def query(fn: Query) -> Query:
@@ -43,6 +48,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def stored_query(fn: Query) -> Query:
+    STORED.add(fn.__name__)
+    return query(fn)
+
+
 def meta(v: int) -> dict:
     return {"snapshot": v}
 
@@ -157,6 +167,35 @@ def q_latest(spark, sf):
     return H.latest(Run(spark, sf).h(3), SPEC)
 
 
+@stored_query
+def q_latest_maintained(spark, sf):
+    """The stored latest view after three merges, and snapshot 3 merged
+    again under its own number and another one."""
+    r = Run(spark, sf)
+    store = LatestStore(spark, scratch_path(spark, "latest"), SPEC, buckets=64)
+    history = r.h(3)
+    for v, again in ((1, 1), (2, 2), (3, 3), (3, 3), (3, 4)):
+        store.merge(history.where(F.col(SPEC.created) == v), again)
+    return store.read()
+
+
+@query
+def q_advance_pruned(spark, sf):
+    r = Run(spark, sf)
+    return H.advance_delta_pruned(r.h(2), r.m(3), SPEC, QUARTERS[3], 3, meta(3))
+
+
+@stored_query
+def q_snapshot_of_run(spark, sf):
+    """The stored snapshot that the run table names for a quarter."""
+    r = Run(spark, sf)
+    root, runs = scratch_path(spark, "snapshots"), scratch_path(spark, "runs")
+    write_snapshots(union_snapshots([r.m(1), r.m(2), r.m(3)], first_version=1), root)
+    made = spark.read.parquet(root).groupBy("v").agg(F.count(F.lit(1)).alias("N_ROWS"))
+    write_runs(made.withColumn("QUARTER", F.concat(F.lit("Q"), F.col("v").cast("string"))), runs)
+    return read_run(spark, root, spark.read.parquet(runs), QUARTER=QUARTERS[2])
+
+
 @query
 def q_stale_after_reversion(spark, sf):
     r = Run(spark, sf)
@@ -457,6 +496,14 @@ def q_key_diff(spark, sf):
     return AU.key_diff(r.pair_ids(), r.pop_a_pairs(), ["A_PAIR"])
 
 
+@query
+def q_key_diff_digest(spark, sf):
+    """The hand-off file against the population, both as delivered."""
+    fx = Run(spark, sf).fx
+    population = fx.pop_a.select(I.pair_key("A_HHID", "A_INDID").alias("A_PAIR"))
+    return D.key_diff_by_digest(fx.handoff_a, population, ["A_PAIR"])
+
+
 @query
 def q_missing_by_key(spark, sf):
     r = Run(spark, sf)
@@ -469,6 +516,11 @@ def q_duplicate_keys(spark, sf):
     return AU.duplicate_keys(Run(spark, sf).fx.vendor_xwalk, ["B_HHID", "B_INDID"])
 
 
+@query
+def q_duplicate_keys_sketch(spark, sf):
+    return SK.duplicate_keys(Run(spark, sf).fx.vendor_xwalk, ["B_HHID", "B_INDID"])
+
+
 @query
 def q_duplicate_pairs(spark, sf):
     return AU.duplicate_rows(Run(spark, sf).fx.vendor_xwalk, ["B_HHID", "B_INDID"])

@@ -95,11 +95,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/idweave-tables/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and return a scan of
     it: survives executor loss, cuts the lineage."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/idweave-tables/{name or 'df'}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name or "df")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -82,6 +82,15 @@ class Fixtures:
         return self.table("customer").where(F.col("c_acctbal") >= 0).select(
             hh(k).alias("A_HHID"), ind(k).alias("A_INDID"))
 
+    @cached_property
+    def handoff_a(self) -> DataFrame:
+        """The pair keys of a hand-off file: the A population but for a few
+        persons, and a few keys that it does not know."""
+        k = F.col("c_custkey")
+        known = self.table("customer").where(k % 499 != 7).select(F.concat(hh(k), F.lit("_"), ind(k)).alias("A_PAIR"))
+        unknown = self.table("customer").where(k % 1000 == 1).select(F.concat(hh(k), F.lit("_9")).alias("A_PAIR"))
+        return known.union(unknown)
+
     @cached_property
     def pop_b(self) -> DataFrame:
         k = F.col("c_custkey")

@@ -6,6 +6,11 @@ Nothing is ever overwritten, so a reader never sees a half-replaced table
 and a failed run leaves earlier versions intact. Reading "as of" version
 n is a partition-pruned scan (``v <= n``).
 
+A version counts only with its marker: ``v=<n>/_SUCCESS`` of a plain store,
+``_versions/<n>`` of a table, written after the rows are in place. Rows of a
+version that was cut off half-way are never read, and writing that version
+again replaces them.
+
 With ``table`` and ``buckets`` the store is a catalog table bucketed (and
 sorted) by the person key: the latest view reads it without any shuffle,
 and an advance (``advance_delta(..., partitions=buckets)``) shuffles only
@@ -19,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from idweave.sources.writers import next_version, path_exists
+from idweave.sources.writers import child_numbers, create_marker, next_version, path_exists, remove
 
 VERSION_COL = "v"
 
@@ -37,9 +42,14 @@ class HistoryStore:
         return bool(self.buckets)
 
     def exists(self) -> bool:
+        """Whether a version is complete."""
+        return bool(self.versions())
+
+    def versions(self) -> list[int]:
+        """The complete versions."""
         if self.table:
-            return self.spark.catalog.tableExists(self.table)
-        return path_exists(self.spark, self.root)
+            return child_numbers(self.spark, f"{self.root}/_versions", files=True)
+        return [v for v in child_numbers(self.spark, self.root) if self.has_version(v)]
 
     def next_version(self) -> int:
         """Next free ``v=<n>`` directory under the root (file listing, no scan)."""
@@ -48,18 +58,18 @@ class HistoryStore:
     def read(self, as_of: int | None = None, with_version: bool = False) -> DataFrame:
         df = (self.spark.table(self.table) if self.table
               else self.spark.read.option("mergeSchema", True).parquet(self.root))
-        if as_of is not None:
-            df = df.where(F.col(VERSION_COL) <= as_of)
+        complete = [v for v in self.versions() if as_of is None or v <= as_of]
+        df = df.where(F.col(VERSION_COL).isin(complete))
         return df if with_version else df.drop(VERSION_COL)
 
     def has_version(self, version: int) -> bool:
-        return path_exists(self.spark, f"{self.root}/{VERSION_COL}={version}/_SUCCESS" if not self.table
-                           else f"{self.root}/{VERSION_COL}={version}")
+        return path_exists(self.spark, f"{self.root}/_versions/{version}" if self.table
+                           else f"{self.root}/{VERSION_COL}={version}/_SUCCESS")
 
     def _fitted(self, delta: DataFrame) -> DataFrame:
         """``delta`` with the stored table's columns; columns that are new in
         it are added to the table."""
-        if not self.exists():
+        if not self.spark.catalog.tableExists(self.table):
             return delta
         stored = {f.name.upper(): f for f in self.spark.table(self.table).schema if f.name != VERSION_COL}
         given = {c.upper() for c in delta.columns}
@@ -77,8 +87,9 @@ class HistoryStore:
         first, so it has one file per bucket at most."""
         v = self.next_version() if version is None else version
         path = f"{self.root}/{VERSION_COL}={v}"
-        if path_exists(self.spark, path):
+        if self.has_version(v):
             raise FileExistsError(f"history version {v} already written")
+        remove(self.spark, path)
         if self.table:
             delta = self._fitted(delta)
             if self.bucketed:
@@ -88,6 +99,7 @@ class HistoryStore:
             if self.bucketed:
                 w = w.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
             w.saveAsTable(self.table)
+            create_marker(self.spark, f"{self.root}/_versions/{v}")
         else:
             delta.write.mode("errorifexists").parquet(path)
         return v

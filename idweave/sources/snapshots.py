@@ -44,3 +44,21 @@ def write_snapshots(df: DataFrame, root: str, mode: str = "append") -> str:
 def read_snapshot(spark: SparkSession, root: str, version: int) -> DataFrame:
     """Version N of a snapshot table (partition-pruned scan)."""
     return spark.read.parquet(root).where(F.col(VERSION_COL) == version).drop(VERSION_COL)
+
+
+def write_runs(runs: DataFrame, path: str, mode: str = "append") -> str:
+    """Add rows to the run table: what a run was made for, and its version
+    ``v`` of the snapshot table."""
+    runs.write.mode(mode).parquet(path)
+    return path
+
+
+def read_run(spark: SparkSession, root: str, runs: DataFrame, **wanted) -> DataFrame:
+    """The snapshot rows of the runs whose columns have the ``wanted`` values,
+    with the run's columns. The version comes from the run table while the
+    query runs: the few runs found are joined on the partition column, and
+    dynamic pruning reads their ``v=N`` folders alone. Runs that name one
+    version give its rows once for each."""
+    chosen = reduce(lambda a, b: a & b, [F.col(c) == F.lit(x) for c, x in wanted.items()])
+    named = runs.where(chosen)
+    return spark.read.parquet(root).join(named, VERSION_COL)

@@ -7,7 +7,9 @@ Plain Parquet has no transaction log, so the rules are:
   snapshot directory instead and read it back;
 * one logical change = one write (new and changed rows of an advance are
   published together);
-* single-file CSV only for small reports, behind a row-count check.
+* a version number is claimed by creating its marker exclusively, so two runs
+  never take the same one;
+* single-file CSV only on request.
 
 Paths may be on any Hadoop file system; listing goes through the
 session's Hadoop configuration, never through local ``os`` calls.
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,18 +34,60 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def next_version(spark: SparkSession, root: str) -> int:
-    """Smallest integer not yet used as a child directory name of ``root``."""
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that no complete version is made of, if there is one."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def child_numbers(spark: SparkSession, root: str, files: bool = False) -> list[int]:
+    """The numbers n, in order, of the child folders ``n`` or ``name=n`` of
+    ``root`` (of its files, if ``files``)."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
-        return 0
-    used = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        tail = name.split("=")[-1]
-        if st.isDirectory() and tail.isdigit():
-            used.append(int(tail))
-    return max(used) + 1 if used else 0
+        return []
+    found = [st for st in fs.listStatus(p) if st.isDirectory() != files]
+    tails = [st.getPath().getName().split("=")[-1] for st in found]
+    return sorted(int(t) for t in tails if t.isdigit())
+
+
+def next_version(spark: SparkSession, root: str) -> int:
+    """Smallest integer above all child directory names of ``root``."""
+    return max(child_numbers(spark, root), default=-1) + 1
+
+
+def create_marker(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; false if there is one. Of several runs that try,
+    one succeeds: on a local disk by the operating system's exclusive create
+    (Hadoop's local file system looks first and creates then), elsewhere by
+    the file system's create without overwriting."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    fs.mkdirs(p.getParent())
+    try:
+        if fs.getScheme() == "file":
+            at = jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri())
+            jvm.java.nio.file.Files.createFile(at, spark.sparkContext._gateway.new_array(
+                jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            fs.create(p, False).close()
+    except Py4JJavaError as e:
+        if "AlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def claim_version(spark: SparkSession, root: str) -> int:
+    """Take the next free version number of ``root`` for this run alone. A
+    claim is a marker in ``root/_claims``; a number that a dead run has
+    claimed is not given out again."""
+    root = root.rstrip("/")
+    claimed = child_numbers(spark, f"{root}/_claims", files=True)
+    version = max(next_version(spark, root), max(claimed, default=-1) + 1)
+    while not create_marker(spark, f"{root}/_claims/{version}"):
+        version += 1
+    return version
 
 
 def run_path(root: str, when: _dt.date | _dt.datetime, version: int) -> str:
@@ -73,10 +118,10 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 
 def write_next(df: DataFrame, root: str) -> str:
-    """Write ``df`` as the next numbered child of ``root``; returns its path.
-    Used for history snapshots and backups (never overwrites)."""
-    spark = df.sparkSession
-    path = f"{root.rstrip('/')}/{next_version(spark, root)}"
+    """Write ``df`` as the next numbered child of ``root``, a number claimed
+    for it; returns its path. Used for history snapshots and backups (never
+    overwrites)."""
+    path = f"{root.rstrip('/')}/{claim_version(df.sparkSession, root)}"
     return write_table(df, path, mode="errorifexists")
 
 

@@ -10,7 +10,7 @@ from idweave.plans.compare import compare, duck
 from conftest import SF_SMALL
 
 from idweave.plans.oracle import oracle_sql
-from idweave.plans.queries import REGISTRY as QUERIES
+from idweave.plans.queries import REGISTRY as QUERIES, STORED
 
 ORACLE = oracle_sql()
 
@@ -26,9 +26,9 @@ def test_every_query_has_an_oracle():
 
 def test_planning_runs_no_job(spark):
     """No query of the reference's operators computes anything while it is
-    being built."""
+    being built, but those over stored tables, which write them."""
     tracker = spark.sparkContext.statusTracker()
-    for name in sorted(QUERIES):
+    for name in sorted(set(QUERIES) - STORED):
         spark.sparkContext.setJobGroup(f"plan-{name}", name)
         QUERIES[name](spark, SF_SMALL)
         # reading a Parquet footer for its schema is the one job there may be
