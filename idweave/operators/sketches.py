@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from idweave.functions.ids import key_hash
 
-BLOCK = 256
+BLOCK = 64
 BITS = 1 << 25
 MOST_BITS = 1 << 29
 PROBES = 4
