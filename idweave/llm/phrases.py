@@ -12,6 +12,10 @@ language within pieces, overlaps included.
 2. The shuffle adds these rows up, apart for fingerprints that collide with
    another check. What occurs fewer than ``least`` times goes; the least
    pointer stays. As it is the least hash, a few texts hold most phrases.
+   Three words can only be frequent where both pairs in them are: they are
+   read in a second pass, and a Bloom filter of the frequent pairs, of
+   ``FILTER_BITS`` whatever their number, keeps most others out of the
+   shuffle (none that is frequent).
 3. ``materialise``: the texts pointed at are read once more, and the frequent
    phrases, and no others, are written out from them. A phrase is taken only
    where the words of the text give both its fingerprint and its check.
@@ -42,6 +46,7 @@ from pyspark.sql import functions as F
 
 from idweave.llm.common import Scratch, mixed, ship, window_hashes, word_hashes
 from idweave.llm.periodic import chunks
+from idweave.operators import sketches
 
 LEAST = 10
 LONGEST = 3
@@ -51,9 +56,13 @@ TOP = 2000
 PARTS = 64
 #: Bits of the check, beside the 62 of the fingerprint.
 CHECK_BITS = 32
+#: Bits of the filter of frequent pairs (16 MB).
+FILTER_BITS = 1 << 27
+#: Bytes of text whose phrases are merged at once.
+CHUNK_BYTES = 1 << 20
 _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 _STEP = np.uint64(0xA0761D6478BD642F)
-_GRAMS = "fp long, check long, n long, at long"
+_GRAMS = ("fp", "check", "n", "at", "head", "tail")
 
 
 class Words:
@@ -109,49 +118,74 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
     for batch in batches:
-        for part in chunks(pc.binary_length(batch.column("text")).fill_null(0).to_pylist()):
+        for part in chunks(pc.binary_length(batch.column("text")).fill_null(0).to_pylist(), CHUNK_BYTES):
             rows = batch.slice(part.start, part.stop - part.start)
             yield rows, Words(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(fp, check, n, at), several rows per phrase; fingerprints that end in
-    two zero bits count all words of a language."""
+def _merged(words: Words, n: int, pointers: np.ndarray) -> list[np.ndarray]:
+    """One row per phrase of n words: fingerprint, check, occurrences, least
+    pointer, and the fingerprints of its first and last n - 1 words."""
+    at, prints, checks = words.grams(n)
+    _, first, which, count = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
+    if (checks != checks[first][which]).any():
+        _, first, which, count = np.unique(np.stack([prints, checks]), axis=1, return_index=True,
+                                           return_inverse=True, return_counts=True)
+    least = np.full(len(first), np.iinfo(np.int64).max)
+    np.minimum.at(least, which, pointers[at])
+    # by place of the first occurrence: neighbours share their pointers
+    order = np.argsort(first)
+    first = first[order]
+    out = [prints[first], checks[first], count[order], least[order]]
+    if n == 1:
+        return [*out, np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)]
+    shorter = np.zeros(len(words.words), np.int64)
+    place, inner, _ = words.grams(n - 1)
+    shorter[place] = inner
+    return [*out, shorter[at[first]], shorter[at[first] + 1]]
+
+
+def _totals(words: Words, langs: list[str]) -> list[np.ndarray]:
+    """One row per language: all its words."""
+    totals = {total_print(lang): 0 for lang in set(langs)}
+    for lang, count in zip(langs, np.bincount(words.text, minlength=len(langs)).tolist()):
+        totals[total_print(lang)] += count
+    none = np.zeros(len(totals), np.int64)
+    return [np.array(list(totals), np.int64), none, np.array(list(totals.values()), np.int64), none, none, none]
+
+
+def fingerprints(docs: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """(fp, check, n, at, head, tail), several rows per phrase of ``lengths``
+    words; length 0 counts all words of a language. ``head`` and ``tail`` are
+    the fingerprints of the phrase without its last and its first word."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, words in _batches(batches):
             pointers = rows.column("at").to_numpy()[words.text]
-            langs = rows.column("lang").to_pylist()
-            in_text = np.bincount(words.text, minlength=len(langs))
-            totals = {total_print(lang): 0 for lang in set(langs)}
-            for lang, count in zip(langs, in_text.tolist()):
-                totals[total_print(lang)] += count
-            tables = [[np.array(list(v), np.int64) for v in (totals, [0] * len(totals), totals.values(), [0] * len(totals))]]
-            for n in range(1, LONGEST + 1):
-                at, prints, checks = words.grams(n)
-                _, first, which, count = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
-                if (checks != checks[first][which]).any():
-                    _, first, which, count = np.unique(np.stack([prints, checks]), axis=1, return_index=True,
-                                                       return_inverse=True, return_counts=True)
-                least = np.full(len(first), np.iinfo(np.int64).max)
-                np.minimum.at(least, which, pointers[at])
-                # by place of the first occurrence: neighbours share their pointers
-                order = np.argsort(first)
-                tables.append([prints[first][order], checks[first][order], count[order], least[order]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*tables)],
-                                             names=["fp", "check", "n", "at"])
-
-    return _texts(docs).mapInArrow(each, _GRAMS)
+            for n in lengths:
+                found = _merged(words, n, pointers) if n else _totals(words, rows.column("lang").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=list(_GRAMS))
+
+    return _texts(docs).mapInArrow(each, ", ".join(f"{c} long" for c in _GRAMS))
 
 
 def _length() -> Column:
     return F.col("fp").bitwiseAND(F.lit(3)).cast("int")
 
 
-def counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def _frequent(grams: DataFrame, least: int) -> DataFrame:
+    added = grams.groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
+    return added.where((F.col("n") >= least) | (_length() == 0))
+
+
+def counts(docs: DataFrame, scratch: Scratch, least: int = LEAST) -> DataFrame:
     """(fp, check, n, at) of the phrases of one word or more that occur
     ``least`` times, and of all words of each language."""
-    added = fingerprints(docs).groupBy("fp", "check").agg(F.sum("n").alias("n"), F.min("at").alias("at"))
-    return added.where((F.col("n") >= least) | (_length() == 0))
+    short = scratch.save(_frequent(fingerprints(docs, (0, 1, 2)), least))
+    pairs = scratch.save(sketches.key_filter(short.where(_length() == 2), ["fp"], FILTER_BITS))
+    long = fingerprints(docs, (3,))
+    for part in ("head", "tail"):
+        long = sketches.maybe_in(long, pairs, [part], FILTER_BITS)
+    return scratch.save(short.unionByName(_frequent(long, least)))
 
 
 _CUT = pa.struct([("k", pa.int32()), *((c, pa.int64()) for c in ("l", "lc", "r", "rc"))])
@@ -219,7 +253,7 @@ def collocations(docs: DataFrame, least: int = LEAST, inside: int = INSIDE) -> D
     """(lang, phrase, a, l, r, n, score, fp) of all candidates that are not
     dropped for a longer one."""
     scratch = Scratch(docs.sparkSession, "phrases")
-    counted = scratch.save(counts(docs, least))
+    counted = counts(docs, scratch, least)
     found = scratch.save(materialise(counted, docs, scratch))
     cuts = _looked_up(found, counted, "fp", "check", "a").select("fp", "check", "a", F.inline("cuts"))
     cuts = _looked_up(_looked_up(cuts, counted, "l", "lc", "nl"), counted, "r", "rc", "nr")
