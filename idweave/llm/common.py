@@ -59,6 +59,19 @@ class Scratch:
                 at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def free_names(table: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened by ``_`` until no column of ``table`` and no
+    other of them has it: for columns that are added while the caller's own
+    ones are carried along."""
+    taken, out = {c.lower() for c in table.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; null counts 0."""
     parts = F.split(F.coalesce(text, F.lit("")), SPACE)
