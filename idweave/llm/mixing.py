@@ -16,15 +16,20 @@ crosses on it. As the rate is one number per source, the running sum is
 class of similar sizes gets its even share and the words taken come close
 to the target.
 
+Equal rows (in all columns) are one row with their number from the start.
 Ranks are made in two levels: counts of (source, size class, hash bucket)
-cells, running sums over a source's cells, then a rank within each cell.
-No task holds a source: a hot source is spread over all of its cells.
+cells, running sums over a source's cells, then a running sum within each
+cell. No task holds a source: a hot source is spread over all of its cells.
+Only ids, sizes and hashes are ranked. Texts, if they are wanted, are
+shuffled once, to meet what their row was given; equal rows are told apart
+again there, ``MOST`` at a time, by as many tasks as it takes.
 
 Defined cases: a null or empty text has size 0; null is a source of its
 own; rows with the same id and text are separate rows and share out the
 copies; documents of a source of size 0 get target 0 and no copies; an
 empty table gives an empty table; extra columns are carried along (the
-names the operator adds, listed in ``ADDED``, replace any of that name).
+names the operator adds, ``ADDED`` and ``copy`` in ``mix``, replace any of
+that name).
 """
 
 from __future__ import annotations
@@ -32,11 +37,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from idweave.functions.ids import key_hash
 from idweave.llm.common import Scratch, n_words
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 BUCKETS = 256
+#: Equal rows that one task tells apart.
+MOST = 256
 ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
@@ -87,45 +95,60 @@ def mix_plan(docs: DataFrame, seed: int = 0, buckets: int = BUCKETS,
     ``keep``: the columns of ``docs`` to carry (all by default; texts are not
     shuffled unless they are kept)."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    carried = [c for c in (keep or docs.columns) if c not in ADDED]
-    sized = (docs.withColumn("size", n_words(F.col("text")))
-             .withColumn("_h", unit_hash(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce("text", F.lit("")))))
-             .select(*carried, "size", *([] if "source" in carried else ["source"]), "_h")
-             .withColumn("_class", size_class(F.col("size")))
-             .withColumn("_cell", F.pmod("_h", F.lit(buckets)).cast("int")))
-    if "text" not in carried:  # ids and sizes alone: no need to read the texts twice
-        sized = scratch.save(sized)
-    cell = ["source", "_class", "_cell"]
-    cells = scratch.save(sized.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"),
-                                                  F.sum("size").alias("_size")))
-    plan = targets(cells.groupBy("source").agg(F.sum("_size").alias("source_size")),
-                   weights, max_repeat)
-    before = (Window.partitionBy("source").orderBy("_class", "_cell")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    carried = [c for c in docs.columns if c in (keep or docs.columns) and c not in ADDED]
+    whole = "text" in carried
+    row = F.struct(*[F.col(c) for c in carried]).alias("row")
+    same = [c for c in docs.columns if c in {*carried, "doc_id", "text", "source"}]
+    ids = [key_hash(same, 0).alias("d0"), key_hash(same, 1).alias("d1")]
+    h = unit_hash(F.lit(seed), F.col("doc_id"), F.md5(F.coalesce("text", F.lit(""))))
+    narrow = docs.select(
+        *ids, F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("of"), h.alias("h"), "doc_id",
+        n_words(F.col("text")).alias("size"), *([] if whole else [row]))
+    groups = scratch.save(
+        narrow.groupBy("of", "size", "h", "doc_id", "d0", "d1")
+        .agg(F.count(F.lit(1)).alias("m"), *([] if whole else [F.first("row").alias("row")]))
+        .withColumn("class", size_class(F.col("size")))
+        .withColumn("cell", F.pmod("h", F.lit(buckets)).cast("int")))
+    cell = ["of", "class", "cell"]
+    cells = scratch.save(groups.groupBy(*cell).agg(
+        F.sum("m").alias("n"), F.sum(F.col("m") * F.col("size")).alias("words")))
+    source = F.when(F.col("of") != "", F.expr("substring(of, 2)")).alias("source")
+    plan = targets(cells.groupBy(source).agg(F.sum("words").alias("source_size")), weights, max_repeat)
     offset = unit_hash(F.lit(seed), F.lit("offset"), F.col("source")) / F.lit(4294967296.0)
-    starts = (cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-              .join(plan.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
-              .select(F.col("source").alias("_s"), F.col("_class").alias("_k"),
-                      F.col("_cell").alias("_c"), "_before", "source_size", "target",
-                      F.col("rate").alias("_rate"),
-                      offset.alias("_offset")))
-    starts = scratch.save(starts)
-    within = (Window.partitionBy(*cell)
-              .orderBy("_h", F.col("doc_id").asc_nulls_first()))
-    same = (F.col("source").eqNullSafe(F.col("_s")) & (F.col("_class") == F.col("_k"))
-            & (F.col("_cell") == F.col("_c")))
-    ranked = sized.withColumn("_rank", F.row_number().over(within)).join(starts, same)
-    at = F.col("_before") + F.col("_rank")
-    copies = (F.floor(F.col("_offset") + F.col("_rate") * at)
-              - F.floor(F.col("_offset") + F.col("_rate") * (at - 1)))
-    out = (ranked.withColumn("copies", copies.cast("int"))
-           .withColumn("taken", F.col("copies") * F.col("size")))
-    return out.select(*[c for c in docs.columns if c in carried], *ADDED)
+    plan = plan.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("of"), "source_size", "target",
+                       "rate", offset.alias("offset"))
+    before = Window.partitionBy("of").orderBy("class", "cell").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n", "words")
+              .join(plan, "of"))
+    within = (Window.partitionBy(*cell).orderBy("h", F.col("doc_id").asc_nulls_first(), "d0", "d1")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (groups.withColumn("ahead", F.coalesce(F.sum("m").over(within), F.lit(0)))
+              .join(scratch.save(starts), cell)
+              .withColumn("before", F.col("before") + F.col("ahead")).drop("of", "h", "doc_id", "class", "cell", "ahead"))
+    if whole:
+        texts = docs.select(*ids, row).groupBy("d0", "d1").agg(F.first("row").alias("row"))
+        ranked = texts.join(scratch.save(ranked), ["d0", "d1"])
+    at = F.col("before") + F.col("j")
+    copies = F.floor(F.col("offset") + F.col("rate") * at) - F.floor(F.col("offset") + F.col("rate") * (at - 1))
+    out = _each_row(ranked).withColumn("copies", copies.cast("int")).withColumn("taken", F.col("copies") * F.col("size"))
+    return out.select("row.*", *ADDED)
+
+
+def _each_row(groups: DataFrame) -> DataFrame:
+    """Every one of a group's ``m`` equal rows, numbered by ``j`` from 1.
+    Large groups are dealt out in parts of ``MOST`` rows."""
+    few = groups.where(F.col("m") <= MOST).withColumn("j", F.explode(F.sequence(F.lit(1).cast("long"), "m")))
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / MOST))
+    first = F.col("part") * MOST + 1
+    many = (groups.where(F.col("m") > MOST).withColumn("part", F.explode(parts)).repartition("d0", "d1", "part")
+            .withColumn("j", F.explode(F.sequence(first, F.least(F.col("m"), first + (MOST - 1))))).drop("part"))
+    return few.unionByName(many)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document emitted ``copies`` times, numbered by
-    ``copy`` from 0, with the plan's columns."""
+    ``copy`` from 0 (which replaces a column of that name), with the plan's
+    columns."""
     plan = mix_plan(docs, **options).where("copies > 0")
     return plan.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
 
