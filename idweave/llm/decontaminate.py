@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from idweave.llm.common import Scratch, mixed, ship, window_hashes, word_hashes, words_of
+from idweave.llm.common import Scratch, free_names, mixed, ship, window_hashes, word_hashes, words_of
 
 SPAN = 13
 AGREE = 11
@@ -172,8 +172,9 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    found = overlaps(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
+    own_id, own_hash = free_names(docs, "_id", "_th")
+    found = overlaps(docs, benchmark).select(F.col("doc_id").alias(own_id), F.col("th").alias(own_hash)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash))
     return docs.join(found, same, "left_anti")
 
 

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from idweave.llm.common import Scratch
+from idweave.llm.common import Scratch, free_names
 
 MIN_LINES = 2
 BLANK = " \t\r"
@@ -84,30 +84,38 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
     scratch = Scratch(docs.sparkSession, "line-dedup")
+    own_id, own_hash, firsts, lines, th = free_names(docs, "_id", "_th", "_firsts", "_lines", "_md5")
     later = (later_windows(docs, min_lines, scratch)
-             .groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th"))
-             .agg(F.collect_list("first").alias("_firsts")))
+             .groupBy(F.col("doc_id").alias(own_id), F.col("th").alias(own_hash))
+             .agg(F.collect_list("first").alias(firsts)))
     later = scratch.save(later)
-    keyed = docs.withColumn("_md5", F.md5(F.col("text").cast("binary")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_th"))
-    joined = (keyed.join(later, same, "left")
-              .withColumn("_lines", line_table(F.col("text"))))
+    keyed = docs.withColumn(th, F.md5(F.col("text").cast("binary")))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(th) == F.col(own_hash))
+    joined = keyed.join(later, same, "left").withColumn(lines, line_table(F.col("text")))
     covered = F.array_distinct(F.flatten(F.transform(
-        "_firsts", lambda i: F.sequence(i, i + (min_lines - 1)))))
-    gone = F.transform(covered, lambda i: F.get(F.col("_lines"), i)["at"])
+        firsts, lambda i: F.sequence(i, i + (min_lines - 1)))))
     split = F.split("text", "\n")
+    gone = picked(F.transform(lines, lambda s: s["at"]), covered)
     # array_except is a hash set: linear in the lines, also of very long texts
     left = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), gone)
     out = (joined
-           .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size("_lines")).cast("long"))
-           .withColumn("n_removed", F.when(F.col("_firsts").isNull(), 0).otherwise(F.size(covered))
+           .withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"))
+           .withColumn("n_removed", F.when(F.col(firsts).isNull(), 0).otherwise(F.size(covered))
                        .cast("long"))
-           .withColumn("text", F.when(F.col("_firsts").isNull(), F.col("text")).otherwise(
-               F.array_join(F.transform(left, lambda i: F.get(split, i)), "\n"))))
+           .withColumn("text", F.when(F.col(firsts).isNull(), F.col("text")).otherwise(
+               F.array_join(picked(split, left), "\n"))))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     return out.select(*names, "n_lines", "n_removed")
 
 
+def picked(values: Column, at: Column) -> Column:
+    """The elements of ``values`` at the places ``at``. ``values`` is bound
+    by a lambda of its own: named inside the inner one, it would be computed
+    again for every place."""
+    bound = F.array(F.struct(values.alias("values"), at.alias("at")))
+    return F.get(F.transform(bound, lambda b: F.transform(b["at"], lambda i: F.get(b["values"], i))), F.lit(0))
+
+
 #: The same in DuckDB's SQL for min_lines = 2, from the definition: windows of
 #: two lines, numbered by place. Gives every row's text after the removal.
 LINE_SQL = """

@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from idweave.llm.common import Scratch, crc32_fold, ship
+from idweave.llm.common import Scratch, crc32_fold, free_names, ship
 
 MAX_LABELLED = 20_000
 THRESHOLD = 0.5
@@ -188,26 +188,29 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column | None = None, pat
              label: str = "quality") -> DataFrame:
     """``docs`` + ADDED."""
     model = fit(docs, labels, label)
+    own_id, own_hash = free_names(docs, "_id", "_th")
     out = _one_each(scored(docs, model, host if host is not None else F.col("source"),
-                           path if path is not None else F.col("lang")))
+                           path if path is not None else F.col("lang")), own_id, own_hash)
     names = [c for c in docs.columns if c not in ADDED]
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash))
     return docs.select(*names).join(out, same).select(*names, *ADDED)
 
 
 def accepted(docs: DataFrame, labels: DataFrame, host: Column | None = None, path: Column | None = None,
              label: str = "quality") -> DataFrame:
     """``docs`` without the documents that the classifier rejects."""
+    own_id, own_hash = free_names(docs, "_id", "_th")
     out = _one_each(scored(docs, fit(docs, labels, label), host if host is not None else F.col("source"),
-                           path if path is not None else F.col("lang"))).where("accepted").select("_id", "_th")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th"))
+                           path if path is not None else F.col("lang")), own_id, own_hash)
+    out = out.where("accepted").select(own_id, own_hash)
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash))
     return docs.join(out, same, "left_semi")
 
 
-def _one_each(found: DataFrame) -> DataFrame:
+def _one_each(found: DataFrame, own_id: str, own_hash: str) -> DataFrame:
     """Rows of one id and text differ in their site at most: they get the
     least result of them."""
-    return found.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+    return found.groupBy(F.col("doc_id").alias(own_id), F.col("th").alias(own_hash)).agg(
         *[F.min(c).alias(c) for c in ADDED])
 
 

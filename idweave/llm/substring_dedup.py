@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from idweave.llm.common import Scratch, ship, window_hashes, word_hashes, words_of
+from idweave.llm.common import Scratch, free_names, ship, window_hashes, word_hashes, words_of
 
 WINDOW = 35
 START = 9
@@ -259,9 +259,10 @@ def dedup(docs: DataFrame) -> DataFrame:
     joined by single blanks); texts without repeats are unchanged."""
     _, lost = _repeats(docs, Scratch(docs.sparkSession, "substring"))
     th = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    lost = lost.select(F.col("th").alias("_th"), F.col("kept").alias("_kept"))
-    return (docs.join(lost, th == F.col("_th"), "left")
-            .withColumn("text", F.coalesce("_kept", "text")).select(*docs.columns))
+    own_hash, left = free_names(docs, "_th", "_kept")
+    lost = lost.select(F.col("th").alias(own_hash), F.col("kept").alias(left))
+    return (docs.join(lost, th == F.col(own_hash), "left")
+            .withColumn("text", F.coalesce(left, "text")).select(*docs.columns))
 
 
 #: ``removals`` in DuckDB's SQL, from the definition: every window's text counted.
