@@ -166,3 +166,45 @@ def append_attributes(resolution: DataFrame, pop: DataFrame, left_key: str, righ
     right = right.withColumn("_on", F.col(renamed[right_key]))
     joined = keyed_join(resolution, right, [left_key], ["_on"], "left")
     return joined.select(*resolution.columns, *renamed.values())
+
+
+def vendor_members(norm_a: DataFrame, norm_b: DataFrame, resp: str = "RESP_ID",
+                   a_keys: Sequence[str] = ("A_HHID", "A_INDID"), b_keys: Sequence[str] = ("B_HHID", "B_INDID"),
+                   keys: Sequence[str] = ("HHID", "INDID")) -> DataFrame:
+    """``vendor_match`` without its products: the match as a graph.
+
+    A respondent whom a persons of vendor A and b persons of vendor B resolve
+    to makes a * b rows there and a + b rows here: one per distinct person,
+    with ``SIDE`` ('A' or 'B'), the key, whether it is the respondent's
+    representative of its side (the least key), and the ``PERSON_ID`` of the
+    B representative, which every member is linked to. Respondents known to
+    one vendor alone and blank ones are left out. One aggregate per
+    respondent, joined back so that a hot respondent's rows stay spread."""
+    def side(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+        known = df.where(non_blank(F.col(resp)))
+        return known.select(resp, F.lit(name).alias("SIDE"), *[F.col(c).alias(k) for c, k in zip(columns, keys)])
+
+    members = side(norm_a, a_keys, "A").unionByName(side(norm_b, b_keys, "B")).distinct()
+    key = F.struct(*keys)
+    ends = members.groupBy(resp).agg(
+        F.min(F.when(F.col("SIDE") == "A", key)).alias("_a"), F.min(F.when(F.col("SIDE") == "B", key)).alias("_b"))
+    ends = ends.where(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    joined = keyed_join(members, ends, [resp])
+    least = F.when(F.col("SIDE") == "A", F.col("_a")).otherwise(F.col("_b"))
+    return joined.select(resp, "SIDE", *keys, key.eqNullSafe(least).alias("IS_REPRESENTATIVE"),
+                         person_id(*[F.col("_b")[k] for k in keys]).alias("PERSON_ID"))
+
+
+def expand_members(members: DataFrame, resp: str = "RESP_ID", a_keys: Sequence[str] = ("A_HHID", "A_INDID"),
+                   b_keys: Sequence[str] = ("B_HHID", "B_INDID"),
+                   keys: Sequence[str] = ("HHID", "INDID")) -> DataFrame:
+    """The rows of ``vendor_match`` again, for readers that want all pairs."""
+    a, b = (members.where(F.col("SIDE") == name).select(resp, *[F.col(k).alias(c) for k, c in zip(keys, columns)])
+            for name, columns in (("A", a_keys), ("B", b_keys)))
+    return keyed_join(a, b, [resp]).select(resp, *b_keys, *a_keys, person_id(*b_keys).alias("PERSON_ID"))
+
+
+def residual_of_members(everyone: DataFrame, members: DataFrame,
+                        keys: Sequence[str] = ("HHID", "INDID")) -> DataFrame:
+    """``residual_population`` straight from the members: no pair is made."""
+    return keyed_join(everyone, members.select(*keys).distinct(), list(keys), how="left_anti").select(*everyone.columns)

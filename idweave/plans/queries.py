@@ -22,10 +22,12 @@ from idweave.operators import linking as L
 from idweave.operators import normalise as N
 from idweave.operators import sketches as SK
 from idweave.operators.columns import repair_columns, upcase_columns
+from idweave.operators.ranking import dense_rank
 from idweave.operators.lookups import block_lookup, geo_lookup, id_resolution
 from idweave.session import configure, scratch_path
 from idweave.sources.fixtures import Fixtures
 from idweave.sources.latest_store import LatestStore
+from idweave.sources.writers import write_lookup
 from idweave.sources.snapshots import read_run, union_snapshots, write_runs, write_snapshots
 
 # --- fixed run parameters of the registered queries ------------------------
@@ -221,6 +223,14 @@ def q_person_history(spark, sf):
     return Run(spark, sf, only=PERSON_KEY).h(3)
 
 
+@stored_query
+def q_person_lookup(spark, sf):
+    """One person's rows of the stored history, past its row groups'
+    filters."""
+    path = write_lookup(Run(spark, sf).h(3), scratch_path(spark, "lookup"), list(SPEC.keys))
+    return H.person_history(spark.read.parquet(path), PERSON_KEY)
+
+
 @query
 def q_dedup_by_key(spark, sf):
     r = Run(spark, sf)
@@ -308,6 +318,19 @@ def q_vendor_match_previous(spark, sf):
     return L.vendor_match(r.norm_a(), r.norm_b(), previous=earlier)
 
 
+@query
+def q_vendor_members(spark, sf):
+    r = Run(spark, sf)
+    return L.vendor_members(r.norm_a(), r.norm_b())
+
+
+@query
+def q_residual_of_members(spark, sf):
+    r = Run(spark, sf)
+    members = L.vendor_members(r.norm_a(True), r.norm_b(True))
+    return L.residual_of_members(r.everyone(True), members)
+
+
 @query
 def q_everyone(spark, sf):
     return Run(spark, sf).everyone()
@@ -331,6 +354,13 @@ def q_rank_completeness(spark, sf):
     return L.rank_completeness(r._reused("residual", r.residual))
 
 
+@stored_query
+def q_dense_rank_weight(spark, sf):
+    """Dense rank of every snapshot row by its weight inside its region."""
+    r = Run(spark, sf)
+    return dense_rank(union_snapshots([r.m(1), r.m(2), r.m(3)], first_version=1), ["GEO_CODE"], "PERSON_WGT", buckets=8)
+
+
 @query
 def q_initial_crosswalk_left(spark, sf):
     fx = Run(spark, sf).fx

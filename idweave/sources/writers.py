@@ -125,6 +125,21 @@ def write_next(df: DataFrame, root: str) -> str:
     return write_table(df, path, mode="errorifexists")
 
 
+def write_lookup(df: DataFrame, path: str, keys: list[str], distinct: int = 1_000_000,
+                 row_group: int = 8 << 20, mode: str = "errorifexists") -> str:
+    """Write ``df`` for lookups of single keys: rows sorted by ``keys`` inside
+    each file, so that row groups and pages cover narrow ranges, and a Parquet
+    Bloom filter of each key column per row group (for ``distinct`` values),
+    so that a reader with ``key = value`` skips the others unread. Nothing is
+    shuffled."""
+    w = df.sortWithinPartitions(*keys).write.mode(mode).option("parquet.block.size", row_group)
+    for k in keys:
+        w = (w.option(f"parquet.bloom.filter.enabled#{k}", "true")
+             .option(f"parquet.bloom.filter.expected.ndv#{k}", distinct))
+    w.parquet(path)
+    return path
+
+
 def backup(df: DataFrame, root: str) -> str:
     """Copy a table into the next numbered backup directory."""
     return write_next(df, root)
