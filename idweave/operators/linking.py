@@ -126,6 +126,22 @@ def residual_population(everyone: DataFrame, matched: DataFrame,
     return keyed_join(everyone, key_set, list(keys), how="left_anti").select(*everyone.columns)
 
 
+def residual_within_source(everyone: DataFrame, matched: DataFrame, source: str = "DATA_SOURCE",
+                           sides: Mapping[str, Sequence[str]] | None = None,
+                           keys: Sequence[str] = ("HHID", "INDID")) -> DataFrame:
+    """As ``residual_population``, but a vendor's rows are compared with the
+    match's keys of that vendor alone, so that a person of one vendor is not
+    taken for matched because the other vendor has matched an equal key.
+    ``sides``: value of ``source`` -> key columns in ``matched``. Rows of any
+    other source all stay."""
+    sides = sides or {"A": ("A_HHID", "A_INDID"), "B": ("B_HHID", "B_INDID")}
+    both = F.explode(F.array(*[
+        F.struct(F.lit(name).alias(source), *[F.col(c).alias(k) for c, k in zip(columns, keys)])
+        for name, columns in sides.items()])).alias("_k")
+    known = matched.select(both).select("_k.*").distinct()
+    return keyed_join(everyone, known, [source, *keys], how="left_anti").select(*everyone.columns)
+
+
 def with_attribute_count(df: DataFrame, col: str = "ATTRIBUTE_COUNT") -> DataFrame:
     return df.withColumn(col, attribute_count())
 

@@ -343,6 +343,16 @@ def q_residual_population(spark, sf):
     return L.residual_population(r.everyone(True), matched)
 
 
+@query
+def q_residual_within_source(spark, sf):
+    """Keys as vendor A has them on both sides, so that one key may be matched
+    by one vendor and not by the other."""
+    r = Run(spark, sf)
+    matched = L.vendor_match(r.norm_a(True), r.norm_b(True)).withColumn("B_HHID", F.expr("substring(B_HHID, 2)"))
+    plain = F.when(F.col("DATA_SOURCE") == "B", F.expr("substring(HHID, 2)")).otherwise(F.col("HHID"))
+    return L.residual_within_source(r.everyone(True).withColumn("HHID", plain), matched)
+
+
 @query
 def q_attribute_count(spark, sf):
     return Run(spark, sf).residual()

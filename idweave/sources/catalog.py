@@ -1,10 +1,11 @@
 """Catalog side: managed tables and the views readers use.
 
 The reference publishes a "latest" view and one "members of snapshot N"
-view per matching run over its history table. Here they are temporary
-views over DataFrames built by the operators (so the correlated-subquery
-forms never reach the planner); a catalog deployment can persist the same
-DataFrames as tables instead.
+view per matching run over its history table. ``publish_views`` makes them
+as temporary views over DataFrames built by the operators,
+``publish_stored_views`` as persistent views in SQL. Both join on one struct
+of the key, which lets AQE split a hot key (see ``operators.joins``); the
+tuple ``IN`` of the reference leaves all of its rows in one task.
 """
 
 from __future__ import annotations
@@ -48,10 +49,14 @@ def publish_stored_views(spark: SparkSession, table: str, name: str,
     ``<name>_<label>`` (history of the persons in each stored snapshot table).
     They hold no rows and follow the table."""
     keys = ", ".join(f"`{k}`" for k in spec.keys)
-    made = {f"{name}_latest": f"SELECT * FROM {table} WHERE ({keys}, `{spec.created}`) IN "
-                              f"(SELECT {keys}, max(`{spec.created}`) FROM {table} GROUP BY {keys})"}
+    whole = " AND ".join(f"`{k}` IS NOT NULL" for k in spec.keys)
+    key = lambda of: "struct(" + ", ".join(f"{of}.`{k}` AS k{i}" for i, k in enumerate(spec.keys)) + ")"
+    rows = f"SELECT h.* FROM (SELECT * FROM {table} WHERE {whole}) h LEFT SEMI JOIN"
+    made = {f"{name}_latest": f"{rows} (SELECT {key('t')} AS k, max(`{spec.created}`) AS newest FROM {table} t "
+                              f"WHERE {whole} GROUP BY {keys}) m ON {key('h')} = m.k AND h.`{spec.created}` = m.newest"}
     for label, stored in (snapshots or {}).items():
-        made[f"{name}_{label}"] = f"SELECT * FROM {table} WHERE ({keys}) IN (SELECT {keys} FROM {stored})"
+        made[f"{name}_{label}"] = (f"{rows} (SELECT DISTINCT {key('t')} AS k FROM {stored} t WHERE {whole}) m "
+                                   f"ON {key('h')} = m.k")
     for view, query in made.items():
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS {query}")
     return list(made)

@@ -109,3 +109,32 @@ def test_lookup_skips_row_groups(spark, tmp_path):
         seen[name] = sum(p.metrics().apply("numOutputRows").value() for k, p in nodes(ran(found)) if k == "FileSourceScanExec")
         assert [r.id for r in found.collect()] == [777]
     assert seen["lookup"] < seen["plain"] / 3 and seen["lookup"] < 15_000
+
+
+def test_residual_within_source(spark):
+    match = spark.createDataFrame([("R", "7", "1", "8", "2")], "RESP_ID string, B_HHID string, B_INDID string, A_HHID string, A_INDID string")
+    who = spark.createDataFrame([("A", "7", "1"), ("B", "7", "1"), ("A", "8", "2"), ("B", "8", "2"), ("C", "7", "1"),
+                                 ("A", None, "1"), (None, "7", "1")], "DATA_SOURCE string, HHID string, INDID string")
+    got = L.residual_within_source(who, match)
+    assert rows(got) == sorted(map(repr, [r for r in who.collect() if (r[0], r[1]) not in (("B", "7"), ("A", "8"))]))
+    assert L.residual_population(who, match).count() == 1
+
+
+def test_stored_views_split_a_hot_key(spark, tmp_path):
+    from idweave.sources.catalog import publish_stored_views, save_table
+    hist = spark.createDataFrame([("A", "h", "1", 1), ("B", "h", "1", 2), ("C", None, "1", 3), ("D", "k", "2", 1)],
+                                 "RESP_ID string, B_HHID string, B_INDID string, CREATED int")
+    save_table(hist, "idw_views", path=str(tmp_path / "t"))
+    save_table(hist.where("RESP_ID in ('C', 'D')"), "idw_views_snap", path=str(tmp_path / "s"))
+    publish_stored_views(spark, "idw_views", "idw_views", {"v1": "idw_views_snap"})
+    assert sorted(r.RESP_ID for r in spark.table("idw_views_latest").collect()) == ["B", "D"]
+    assert [r.RESP_ID for r in spark.table("idw_views_v1").collect()] == ["D"]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark.table("idw_views_latest")._jdf.queryExecution().executedPlan().toString()
+        # both sides are shuffled for the join: neither is the aggregate's own partitioning
+        joins = [x for x in plan.splitlines() if "Exchange hashpartitioning(" in x and "struct(" in x or "_groupingexpression" in x or "k#" in x and "Exchange" in x]
+        assert "SortMergeJoin" in plan and len(joins) >= 2, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
