@@ -2,27 +2,35 @@
 
 A document is contaminated by an item if, on one alignment of the two, some
 ``SPAN`` = 13 consecutive words agree in at least ``AGREE`` = 11 places: up to
-two words in thirteen may have been substituted. Words are lower-cased (A-Z)
-and stripped of ASCII punctuation at both ends.
+two words in thirteen may have been substituted. An item of fewer than 13
+words must be there as a whole, with two substitutions in thirteen scaled to
+its length: one from 7 words on, none below. Words are lower-cased (A-Z) and
+stripped of ASCII punctuation at both ends.
 
 Seeds: the 13 places are four blocks, and each of the six masks looks at
 two blocks and ignores the other two. Two substitutions spoil two blocks at
 most, so one of the masks sees only words that agree: no overlap that the
-definition counts is missed. Training texts are hashed under all masks at all
-positions and joined to the hashes of the test items; around every hit the
-alignment it names is compared word by word.
-
-The benchmark is taken in blocks of at most ``BLOCK_WORDS`` words, streamed
-from Spark: each block's hashes (of bounded size) are broadcast and joined
-to all documents, so a benchmark of any size is searched whole. An item
-longer than a block is cut into overlapping pieces that share all windows.
-Items of 5 to 12 words are searched as a whole, word for word; shorter ones
-name nothing in particular and are not searched.
+definition counts is missed. A shorter item has its two halves for masks if
+it may have a substitution, and all its words for one if not.
+
+1. The seeds of the test items are a Spark table (seed, item), one item per
+   distinct text. A filter of ``FILTER_BITS`` bits of them, of that size
+   whatever the benchmark's, goes to the tasks that read the documents.
+2. Every document is hashed under all masks at all positions. Seeds that the
+   filter knows are rows (seed, text), each once per text, and are joined to
+   the test seeds: pairs of text and item.
+3. Each pair is verified: the seeds name alignments, and along each of them
+   the words are compared, by numpy, with work of at most the product of the
+   two lengths even where both repeat one word.
+
+Equal texts are one text until the end. The benchmark and the documents are
+both read by tasks; the driver sees the filter alone.
 
 Defined cases: null and empty texts and items match nothing; equal rows get
 equal results, texts under one id are judged each for itself; an empty
 benchmark contaminates nothing; an empty table gives an empty table; extra
-columns pass through ``decontaminate``.
+columns pass through ``decontaminate``. ``shortest`` leaves out items of
+fewer words: an item of one common word is in most documents.
 """
 
 from __future__ import annotations
@@ -31,20 +39,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from idweave.llm.common import Scratch, free_names, mixed, ship, window_hashes, word_hashes, words_of
 
 SPAN = 13
 AGREE = 11
-SHORTEST = 5
-BLOCK_WORDS = 1_000_000
+SHORTEST = 1
 BLOCKS = ((0, 1, 2, 3), (4, 5, 6), (7, 8, 9), (10, 11, 12))
 MASKS = ((0, 1), (0, 2), (0, 3), (1, 2), (1, 3), (2, 3))
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+FILTER_BITS = 24
 _FACTORS = np.random.default_rng(7).integers(1, 2 ** 63, SPAN, dtype=np.uint64) | np.uint64(1)
-_FILTER_BITS = 22
+#: Words compared at once in a verification.
+_CELLS = 1 << 21
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -52,11 +61,16 @@ def tokens(text: str | None) -> np.ndarray:
     return word_hashes([w.strip(PUNCTUATION) or w for w in words_of(text or "", lower=True)])
 
 
-def seeds(hashes: np.ndarray) -> list[np.ndarray]:
+def span_of(length: int) -> tuple[int, int]:
+    """(words of a window, words that must agree) for an item."""
+    return (SPAN, AGREE) if length >= SPAN else (length, length - length * (SPAN - AGREE) // SPAN)
+
+
+def masked(hashes: np.ndarray) -> list[np.ndarray]:
     """Per mask the hash at every position where 13 words follow."""
     count = len(hashes) - SPAN + 1
     if count <= 0:
-        return []
+        return [np.empty(0, np.uint64)] * len(MASKS)
     parts = []
     for block in BLOCKS:
         part = np.zeros(count, np.uint64)
@@ -66,103 +80,159 @@ def seeds(hashes: np.ndarray) -> list[np.ndarray]:
     return [mixed(parts[a] + parts[b]) for a, b in MASKS]
 
 
-class TestBlock:
-    """The hashes of a block of items: for every seed the items and offsets
-    it occurs at."""
-
-    __test__ = False
-
-    def __init__(self, items: list[tuple[object, np.ndarray]]):
-        self.items = items
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for n, (_, hashes) in enumerate(items):
-            if len(hashes) < SPAN:
-                found.append((window_hashes(hashes, len(hashes)), np.array([n]), np.array([0])))
-            for s in seeds(hashes):
-                found.append((s, np.full(len(s), n), np.arange(len(s))))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.uint64)] * 3
-        order = np.argsort(columns[0], kind="stable")
-        self.keys, self.item, self.offset = (c[order] for c in columns)
-        self.short = sorted({len(h) for _, h in items if len(h) < SPAN})
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[(self.keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-
-    def hits(self, hashes: np.ndarray) -> set[tuple[int, int]]:
-        """(item, alignment) pairs that some seed names."""
-        out: set[tuple[int, int]] = set()
-        for s in [*seeds(hashes), *(window_hashes(hashes, n) for n in self.short)]:
-            at = np.flatnonzero(self.filter[(s >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-            low = np.searchsorted(self.keys, s[at], "left")
-            high = np.searchsorted(self.keys, s[at], "right")
-            for p, a, b in zip(at, low, high):
-                for k in range(a, b):
-                    out.add((int(self.item[k]), int(p) - int(self.offset[k])))
-        return out
-
-    def overlaps(self, hashes: np.ndarray) -> dict[int, int]:
-        """Per item of the block the windows of 13 words that agree enough."""
-        out: dict[int, int] = {}
-        for n, shift in self.hits(hashes):
-            item = self.items[n][1]
-            a, b = max(0, -shift), min(len(item), len(hashes) - shift)
-            same = item[a:b] == hashes[a + shift:b + shift]
-            if len(item) < SPAN:
-                count = int(b - a == len(item) and same.all())
-            else:
-                total = np.concatenate([[0], np.cumsum(same)])
-                count = int((total[SPAN:] - total[:-SPAN] >= AGREE).sum()) if len(same) >= SPAN else 0
-            if count:
-                out[n] = out.get(n, 0) + count
-        return out
-
-
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[TestBlock]:
-    """The benchmark as blocks of bounded size."""
-    held, size = [], 0
-    for row in benchmark.select("item_id", "text").where("text is not null").distinct().toLocalIterator():
-        hashes = tokens(row.text)
-        if len(hashes) < SHORTEST:
-            continue
-        for a in range(0, max(1, len(hashes) - SPAN + 1), block_words):
-            piece = hashes[a:a + block_words + SPAN - 1]
-            if held and size + len(piece) > block_words:
-                yield TestBlock(held)
-                held, size = [], 0
-            held.append((row.item_id, piece))
-            size += len(piece)
-    if held:
-        yield TestBlock(held)
-
-
-def overlaps(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, th, item_id, windows): contaminated texts with the items they
-    hold and the number of 13-word windows that agree."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "decontaminate")
-    kind, item_kind = (t.schema[c].dataType.simpleString() for t, c in ((docs, "doc_id"), (benchmark, "item_id")))
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    schema = f"doc_id {kind}, th long, item_id {item_kind}, windows long"
-    out = spark.createDataFrame([], schema)
-    for block in blocks(benchmark, block_words):
-        # the task's function holds the block; Spark broadcasts large functions
-        def search(batches: Iterator[pd.DataFrame], test=block) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = []
-                for doc_id, th, text in zip(batch["doc_id"], batch["th"], batch["text"]):
-                    for n, count in test.overlaps(tokens(text)).items():
-                        rows.append((doc_id, th, test.items[n][0], count))
-                yield pd.DataFrame(rows, columns=["doc_id", "th", "item_id", "windows"])
-
-        out = out.union(scratch.save(keyed.mapInPandas(search, schema).distinct()))
-    return out.groupBy("doc_id", "th", "item_id").agg(F.sum("windows").alias("windows"))
-
-
-def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def pieces(length: int) -> list[tuple[int, int]]:
+    """(offset, words) of the masks of a short item."""
+    half = length // 2
+    return [(0, half), (half, length - half)] if span_of(length)[1] < length else [(0, length)]
+
+
+def seeds(hashes: np.ndarray, short: list[int]) -> list[tuple[np.ndarray, int]]:
+    """(hashes at all positions, offset of the position in the window) for
+    each mask: those of 13 words, and those of the ``short`` lengths."""
+    out = [(s, 0) for s in masked(hashes)]
+    for length in short:
+        for offset, size in pieces(length):
+            name = np.array([length * SPAN + offset], np.uint64) * _FACTORS[:1]
+            out.append((mixed(window_hashes(hashes, size) + name), offset))
+    return out
+
+
+def item_seeds(hashes: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """As ``seeds``, the masks that an item itself is searched with."""
+    if len(hashes) >= SPAN:
+        return seeds(hashes, [])
+    return [(s[o:o + 1], o) for s, o in seeds(hashes, [len(hashes)])[len(MASKS):]]
+
+
+def windows(item: np.ndarray, text: np.ndarray) -> int:
+    """Over all alignments, the windows of the item that agree enough."""
+    span, need = span_of(len(item))
+    if not span or len(text) < span:
+        return 0
+    short = [len(item)] if len(item) < SPAN else []
+    # alignments from -(len(item) - span) to len(text) - span, shifted to 0
+    lead = len(item) - span
+    named = np.zeros(len(text) - span + lead + 1, bool)
+    skip = 0 if not short else len(MASKS)
+    for (mine, offset), (theirs, _) in zip(item_seeds(item), seeds(text, short)[skip:]):
+        at, order = theirs, np.argsort(mine, kind="stable")
+        low = np.searchsorted(mine[order], at, "left")
+        high = np.searchsorted(mine[order], at, "right")
+        places = np.flatnonzero(high > low)
+        places = places[np.argsort(low[places], kind="stable")]
+        # equal hashes share one range of places in the item
+        cuts = np.flatnonzero(np.diff(low[places])) + 1
+        for here in np.split(places, cuts) if len(places) else []:
+            for k in order[low[here[0]]:high[here[0]]]:
+                shift = here - (k + (offset if short else 0)) + lead
+                named[shift[(shift >= 0) & (shift < len(named))]] = True
+    shifts, total = np.flatnonzero(named) - lead, 0
+    padded = np.concatenate([np.zeros(lead, np.uint64), text, np.zeros(lead, np.uint64)])
+    real = np.zeros(len(padded), bool)
+    real[lead:lead + len(text)] = True
+    step = max(1, _CELLS // len(item))
+    for a in range(0, len(shifts), step):
+        at = (shifts[a:a + step] + lead)[:, None] + np.arange(len(item))
+        same = (padded[at] == item) & real[at]
+        sums = np.concatenate([np.zeros((len(at), 1), np.int64), np.cumsum(same, axis=1)], axis=1)
+        whole = np.concatenate([np.zeros((len(at), 1), np.int64), np.cumsum(real[at], axis=1)], axis=1)
+        agree = (sums[:, span:] - sums[:, :-span] >= need) & (whole[:, span:] - whole[:, :-span] == span)
+        total += int(agree.sum())
+    return total
+
+
+def _text_key() -> Column:
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def test_seeds(items: DataFrame, shortest: int) -> DataFrame:
+    """(seed, item, words): distinct seeds of each item (item, text), with
+    its number of words if that is below 13, else 13."""
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for item, text in zip(batch["item"], batch["text"]):
+                hashes = tokens(text)
+                if len(hashes) >= max(shortest, 1):
+                    found = np.unique(np.concatenate([s for s, _ in item_seeds(hashes)])).view(np.int64)
+                    rows += [(seed, item, min(len(hashes), SPAN)) for seed in found.tolist()]
+            yield pd.DataFrame(rows, columns=["seed", "item", "words"])
+
+    return items.mapInPandas(each, "seed long, item binary, words int")
+
+
+test_seeds.__test__ = False
+
+
+def seed_filter(found: DataFrame) -> np.ndarray:
+    """Which values of their first ``FILTER_BITS`` bits the seeds have, a bit
+    each in bytes, merged by tasks into words of 64."""
+    place = F.shiftrightunsigned("seed", 64 - FILTER_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for row in found.groupBy(F.shiftright(place, 6).cast("int").alias("at")).agg(F.bit_or(bit).alias("bits")).collect():
+        out[row["at"]] = row["bits"]
+    return out.view(np.uint8)
+
+
+def known_seeds(of: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The hashes of which the filter has the bit."""
+    at = (of >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return of[(known[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
+
+
+def document_seeds(docs: DataFrame, known: np.ndarray, short: list[int]) -> DataFrame:
+    """(seed, th): the seeds of each text that the filter knows."""
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hits = [np.unique(np.concatenate([known_seeds(s, known) for s, _ in seeds(tokens(t), short)]))
+                    for t in batch["text"]]
+            yield pd.DataFrame({"seed": np.concatenate(hits).view(np.int64),
+                                "th": np.repeat(batch["th"].to_numpy(), [len(h) for h in hits])})
+
+    return docs.where("text is not null").select(_text_key().alias("th"), "text").mapInPandas(each, "seed long, th binary")
+
+
+def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    last, hashes = None, np.empty(0, np.uint64)
+    for batch in batches:
+        counts = []
+        for th, text, item in zip(batch["th"], batch["text"], batch["other"]):
+            if th != last:
+                last, hashes = th, tokens(text)
+            counts.append(windows(tokens(item), hashes))
+        out = pd.DataFrame({"th": batch["th"], "item": batch["item"], "windows": counts})
+        yield out[out["windows"] > 0]
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
+    """(th, item_id, windows): contaminated texts, by the md5 of the text,
+    with the items they hold and the number of windows that agree."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    named = benchmark.where("text is not null").select("item_id", _text_key().alias("item"), "text")
+    items = scratch.save(named.groupBy("item").agg(F.first("text").alias("text")))
+    found = scratch.save(test_seeds(items, shortest))
+    known = seed_filter(found)
+    short = [r.words for r in found.where(F.col("words") < SPAN).select("words").distinct().collect()]
+    # copies of a text ask once
+    asked = document_seeds(docs, known, sorted(short)).distinct()
+    pairs = scratch.save(asked.join(found.select("seed", "item"), "seed").select("th", "item").distinct())
+    texts = (docs.where("text is not null").select(_text_key().alias("th"), "text")
+             .join(pairs.select("th").distinct(), "th", "left_semi").groupBy("th").agg(F.first("text").alias("text")))
+    both = (pairs.join(items.withColumnRenamed("text", "other"), "item").join(texts, "th")
+            .select("th", "text", "item", "other"))
+    held = scratch.save(both.mapInPandas(_verified, "th binary, item binary, windows long"))
+    return (named.select("item_id", "item").distinct().join(held, "item")
+            .groupBy("th", "item_id").agg(F.sum("windows").alias("windows")))
+
+
+def report(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """doc_id, contaminated, n_items, items (sorted), windows for every row."""
-    found = overlaps(docs, benchmark).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(
+    found = overlaps(docs, benchmark, shortest).groupBy("th").agg(
         F.sort_array(F.collect_set("item_id")).alias("items"), F.sum("windows").alias("windows"))
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("th"))
-    joined = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
+    # read from a table, the few texts found do not fix how the rows are dealt
+    found = Scratch(docs.sparkSession, "decontaminate").save(found)
+    joined = docs.select("doc_id", _text_key().alias("th")).join(found, "th", "left")
     return joined.select(
         "doc_id", F.col("items").isNotNull().alias("contaminated"),
         F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
@@ -170,12 +240,12 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce("windows", F.lit(0)).cast("long").alias("windows"))
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, shortest: int = SHORTEST) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    own_id, own_hash = free_names(docs, "_id", "_th")
-    found = overlaps(docs, benchmark).select(F.col("doc_id").alias(own_id), F.col("th").alias(own_hash)).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.xxhash64("text") == F.col(own_hash))
-    return docs.join(found, same, "left_anti")
+    (th,) = free_names(docs, "_th")
+    found = overlaps(docs, benchmark, shortest).select(F.col("th").alias(th)).distinct()
+    found = Scratch(docs.sparkSession, "decontaminate").save(found)
+    return docs.join(found, _text_key() == F.col(th), "left_anti")
 
 
 ship(__name__)

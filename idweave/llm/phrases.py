@@ -62,7 +62,8 @@ FILTER_BITS = 1 << 27
 CHUNK_BYTES = 1 << 20
 _ENDS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 _STEP = np.uint64(0xA0761D6478BD642F)
-_GRAMS = ("fp", "check", "n", "at", "head", "tail")
+_GRAMS = ("fp", "check", "n", "at")
+_ENDED = (*_GRAMS, "head", "tail")
 
 
 class Words:
@@ -123,9 +124,9 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             yield rows, Words(rows.column("text").to_pylist(), rows.column("lang").to_pylist())
 
 
-def _merged(words: Words, n: int, pointers: np.ndarray) -> list[np.ndarray]:
+def _merged(words: Words, n: int, pointers: np.ndarray, ends: bool) -> list[np.ndarray]:
     """One row per phrase of n words: fingerprint, check, occurrences, least
-    pointer, and the fingerprints of its first and last n - 1 words."""
+    pointer; with ``ends`` the fingerprints of its first and last n - 1 words."""
     at, prints, checks = words.grams(n)
     _, first, which, count = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
     if (checks != checks[first][which]).any():
@@ -137,8 +138,8 @@ def _merged(words: Words, n: int, pointers: np.ndarray) -> list[np.ndarray]:
     order = np.argsort(first)
     first = first[order]
     out = [prints[first], checks[first], count[order], least[order]]
-    if n == 1:
-        return [*out, np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)]
+    if not ends:
+        return out
     shorter = np.zeros(len(words.words), np.int64)
     place, inner, _ = words.grams(n - 1)
     shorter[place] = inner
@@ -151,21 +152,24 @@ def _totals(words: Words, langs: list[str]) -> list[np.ndarray]:
     for lang, count in zip(langs, np.bincount(words.text, minlength=len(langs)).tolist()):
         totals[total_print(lang)] += count
     none = np.zeros(len(totals), np.int64)
-    return [np.array(list(totals), np.int64), none, np.array(list(totals.values()), np.int64), none, none, none]
+    return [np.array(list(totals), np.int64), none, np.array(list(totals.values()), np.int64), none]
 
 
-def fingerprints(docs: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
-    """(fp, check, n, at, head, tail), several rows per phrase of ``lengths``
-    words; length 0 counts all words of a language. ``head`` and ``tail`` are
-    the fingerprints of the phrase without its last and its first word."""
+def fingerprints(docs: DataFrame, lengths: tuple[int, ...], ends: bool = False) -> DataFrame:
+    """(fp, check, n, at), several rows per phrase of ``lengths`` words;
+    length 0 counts all words of a language. With ``ends`` also ``head`` and
+    ``tail``, the fingerprints of the phrase without its last and its first
+    word."""
+    columns = _ENDED if ends else _GRAMS
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, words in _batches(batches):
             pointers = rows.column("at").to_numpy()[words.text]
             for n in lengths:
-                found = _merged(words, n, pointers) if n else _totals(words, rows.column("lang").to_pylist())
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=list(_GRAMS))
+                found = _merged(words, n, pointers, ends) if n else _totals(words, rows.column("lang").to_pylist())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=list(columns))
 
-    return _texts(docs).mapInArrow(each, ", ".join(f"{c} long" for c in _GRAMS))
+    return _texts(docs).mapInArrow(each, ", ".join(f"{c} long" for c in columns))
 
 
 def _length() -> Column:
@@ -182,7 +186,7 @@ def counts(docs: DataFrame, scratch: Scratch, least: int = LEAST) -> DataFrame:
     ``least`` times, and of all words of each language."""
     short = scratch.save(_frequent(fingerprints(docs, (0, 1, 2)), least))
     pairs = scratch.save(sketches.key_filter(short.where(_length() == 2), ["fp"], FILTER_BITS))
-    long = fingerprints(docs, (3,))
+    long = fingerprints(docs, (3,), ends=True)
     for part in ("head", "tail"):
         long = sketches.maybe_in(long, pairs, [part], FILTER_BITS)
     return scratch.save(short.unionByName(_frequent(long, least)))
