@@ -164,9 +164,11 @@ def fit(turns: DataFrame) -> Model:
     first, follow = np.zeros(3), np.zeros((3, 3))
     for r in known.groupBy("role").agg(F.count(F.lit(1)).alias("n")).collect():
         count[ROLES.index(r.role)] = r.n
-    ahead = known.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
-    for r in (known.join(ahead, ["conv_id", "turn"], "left").groupBy("before", "role")
-              .agg(F.count(F.lit(1)).alias("n")).collect()):
+    # counted by turn number first: rows that share one number never meet in pairs
+    by_turn = known.groupBy("conv_id", "turn", "role").agg(F.count(F.lit(1)).alias("n"))
+    ahead = by_turn.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("before"))
+    for r in (by_turn.join(ahead, ["conv_id", "turn"], "left").groupBy("before", "role")
+              .agg(F.sum("n").alias("n")).collect()):
         if r.before is None:
             first[ROLES.index(r.role)] += r.n
         else:

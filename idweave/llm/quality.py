@@ -108,7 +108,8 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
         max_labelled: int = MAX_LABELLED) -> Model:
-    """Learn from a bounded number of labelled rows (by crc32 of the id)."""
+    """Learn from a bounded number of labelled rows (by crc32 of the id), one
+    text of an id."""
     chosen = (labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("_y"))
               .orderBy(crc32_fold(F.col("doc_id"), 1 << 32), "doc_id", "_y").limit(max_labelled))
 
@@ -116,7 +117,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality",
         for batch in batches:
             yield pd.DataFrame({"y": batch["_y"], "x": [features(t) for t in batch["text"]]})
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("_y", "text")
+    # of rows that share a chosen id, the text of least hash
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_y")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")).select("_y", "text")
             .mapInPandas(measure, "y double, x array<double>").toPandas())
     rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["y"][i], list(rows["x"][i])))]
     return Model(np.array(rows["x"].tolist(), float).reshape(-1, N_FEATURES), rows["y"].to_numpy(float))

@@ -220,15 +220,16 @@ def train(texts: list[str | None], labels: np.ndarray, rate: float | None = None
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Model:
     """Learn from a bounded number of labelled documents of the learning folds,
-    half of them toxic as far as there are as many."""
+    half of them toxic as far as there are as many; of an id, one text."""
     usable = (labels.where(F.col("toxic").isin(0, 1) & (crc32_fold(F.col("doc_id"), FOLDS) != HELD_OUT))
               .select("doc_id", F.col("toxic").alias("_y")))
     toxic, every = usable.agg(F.sum("_y"), F.count(F.lit(1))).first()
     order = [crc32_fold(F.col("doc_id"), 1 << 32), "doc_id"]
     chosen = (usable.where("_y = 1").orderBy(*order).limit(max_labelled // 2)
               .union(usable.where("_y = 0").orderBy(*order).limit(max_labelled // 2)))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-            .select("doc_id", "_y", "text").collect())
+    # of rows that share a chosen id, the text of least hash
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "_y")
+            .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text"))["text"].alias("text")).collect())
     rows.sort(key=lambda r: (r.doc_id, r._y, r.text or ""))
     return train([r.text for r in rows], np.array([float(r._y) for r in rows]),
                  ((toxic or 0) + 0.5) / ((every or 0) + 1.0))

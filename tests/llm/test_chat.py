@@ -83,3 +83,10 @@ def test_defined_cases(spark, model):
 def test_render(spark):
     row = spark.range(1).select(chat.render(F.lit("user"), F.lit("hi")).alias("x")).first()
     assert row.x == "<|user|>\nhi\n<|end|>\n"
+
+
+def test_fit_of_equal_turn_numbers_makes_no_pairs(spark):
+    """Rows that share a turn number are counted before they are joined."""
+    rows = [(1, i % 2, "user" if i % 2 == 0 else "assistant", f"t{i}") for i in range(4000)]
+    model = chat.fit(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    assert model.step[1].argmax() == 2
