@@ -1,10 +1,8 @@
 """MinHash near-dedup by an inverted join over signature coordinates.
 
 1. ``sign``: each text's set of five-word shingles, its size, a 128-bit
-   digest of the set and ``MINIMA`` minima, each under a hash function of its
-   own. The first ``COORDS`` of them are the signature's coordinates; of all
-   of them one bit is kept in a sketch. Equal sets become one class, so
-   copies cost one row from here on.
+   digest of the set and a signature of ``COORDS`` minima. Equal sets become
+   one class, so copies cost one row from here on.
 2. Posting lists: a class is posted under (coordinate, value). Two classes
    are candidates if at least ``MATCHES`` coordinates agree; at 0.75
    similarity 24 of 32 do on average, and fewer than 12 about three times in
@@ -18,14 +16,16 @@
    member that shares the most of its signature, the likeliest original of
    the list. Members of one component are done with each other, so a group of
    n near copies costs about n comparisons, not n * n.
-5. What stars leave are pairs in one list and in different components. Of a
-   class's n shingles only s occur anywhere else, so with a partner of n'
-   shingles it must hold that 7 * min(s, s') >= 3 * (n + n'). Lists are
-   joined on buckets of n and of the largest n' that s allows, so pairs that
-   fail this are not made. In the join their sketches are compared: at a
-   similarity of 0.75, one bit in eight differs on average, 32 of 256, and
-   more than ``DIFFER`` about once in a million. Texts that only share a
-   passage differ in about half of them, so they do not leave the join.
+5. What stars leave are pairs in one list and in different components. They
+   are compared one by one, except where counts prove that they cannot link:
+   of a class's n shingles only s occur anywhere else, so with a partner of
+   n' shingles it must hold that 7 * min(s, s') >= 3 * (n + n'). Lists are
+   joined on buckets of n and of the largest n' that s allows, so pairs
+   that fail this are not made. The s shingles are also counted by ``PARTS``
+   hash parts: two sets share at most the sum of the lesser counts, which
+   rules out copies that were changed in different places. Two classes may
+   share many lists; the pair is made in the first of them alone. No
+   candidate pair is dropped otherwise.
 
 Defined cases: null and empty texts have no shingles and link with nothing,
 each is a component of its own; a text of fewer than five words is one
@@ -52,15 +52,12 @@ WORDS = 5
 PERCENT = 75
 COORDS = 32
 MATCHES = 12
-MINIMA = 256
-#: Bits of the sketch in which a pair may differ.
-DIFFER = 60
 #: Ratio of the bounds of a length bucket.
 BUCKET = 1.1
-#: Shingles that are hashed at once.
-_PART = 512
-_SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 32, (2, MINIMA), dtype=np.uint64).astype(np.uint32)
-_SEEDS[0] |= np.uint32(1)
+#: Hash parts by which shared shingles are counted.
+PARTS = 64
+_SEEDS = np.random.default_rng(20240229).integers(1, 2 ** 63, (2, COORDS), dtype=np.uint64)
+_SEEDS[0] |= np.uint64(1)
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -71,37 +68,29 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(window_hashes(word_hashes(found), min(words, len(found))))
 
 
-def minima(of: np.ndarray) -> np.ndarray:
+def signature(of: np.ndarray) -> np.ndarray:
     """The minimum of the set under each of the hash functions, 32 bits."""
-    short = (of >> np.uint64(32)).astype(np.uint32)
-    out = np.full(MINIMA, 2 ** 32 - 1, np.uint32)
-    for a in range(0, len(short), _PART):
-        out = np.minimum(out, (short[a:a + _PART, None] * _SEEDS[0] + _SEEDS[1]).min(axis=0))
-    return out
-
-
-def sketch(least: np.ndarray) -> np.ndarray:
-    """One bit of each minimum, in longs."""
-    return np.packbits((least * np.uint32(0x9E3779B1)) >> np.uint32(31) == 1).view(np.int64)
+    out = np.empty(COORDS, np.uint64)
+    for k in range(COORDS):
+        out[k] = (of * _SEEDS[0, k] + _SEEDS[1, k]).min()
+    return (out >> np.uint64(32)).astype(np.int64)
 
 
 def _sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [shingles(t) for t in batch["text"]]
-        least = [minima(s) if len(s) else None for s in sets]
         yield pd.DataFrame({
             "doc_id": batch["doc_id"], "th": batch["th"], "n_shingles": [len(s) for s in sets],
             "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-            "sig": [None if m is None else m[:COORDS].astype(np.int64) for m in least],
-            "bits": [None if m is None else sketch(m) for m in least]})
+            "sig": [signature(s) if len(s) else None for s in sets]})
 
 
 def sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, n_shingles, digest, sig, bits); ``th`` tells texts of one
-    id apart."""
+    """(doc_id, th, n_shingles, digest, sig); ``th`` tells texts of one id
+    apart."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", F.xxhash64("text").alias("th")).mapInPandas(
-        _sign, f"doc_id {kind}, th long, n_shingles long, digest binary, sig array<long>, bits array<long>")
+        _sign, f"doc_id {kind}, th long, n_shingles long, digest binary, sig array<long>")
 
 
 def postings(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -170,6 +159,12 @@ def _shingle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "shingle": np.concatenate(sets).view(np.int64)})
 
 
+def _profile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        parts = [np.bincount((shingles(t) % np.uint64(PARTS)).astype(int), minlength=PARTS) for t in batch["text"]]
+        yield pd.DataFrame({"class_no": batch["class_no"], "parts": parts})
+
+
 def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: DataFrame,
                scratch: Scratch) -> DataFrame:
     """(a, b): pairs that share a list, are in different components and may
@@ -180,26 +175,37 @@ def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: D
     open_ = scratch.save(here.join(scratch.save(mixed_), "key"))
     members = scratch.save(open_.select("class_no").distinct())
     theirs = scratch.save(texts.join(members, "class_no"))
+    # as an unsigned number modulo PARTS, a power of two: the low bits
+    part = F.col("shingle").bitwiseAND(F.lit(PARTS - 1)).cast("int")
     alone = (theirs.mapInPandas(_shingle_rows, "class_no long, shingle long")
              .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("class_no").alias("class_no"))
-             .where("n = 1").groupBy("class_no").agg(F.count(F.lit(1)).alias("alone")))
-    sized = (classes.select("class_no", F.col("n_shingles").alias("n"), "bits").join(members, "class_no")
+             .where("n = 1").groupBy("class_no").agg(*[
+                 F.count(F.when(part == k, 1)).cast("int").alias(f"p{k}") for k in range(PARTS)])
+             .select("class_no", F.array(*[f"p{k}" for k in range(PARTS)]).alias("alone")))
+    sized = (theirs.mapInPandas(_profile, "class_no long, parts array<int>")
+             .join(classes.select("class_no", F.col("n_shingles").alias("n")), "class_no")
              .join(alone, "class_no", "left")
-             .withColumn("most", F.floor((F.col("n") - F.coalesce("alone", F.lit(0))) * 7 / 3).cast("long") - F.col("n"))
-             .where("4 * most >= 3 * n").select("class_no", "n", "most", "bits"))
+             .withColumn("v", F.when(F.col("alone").isNull(), F.col("parts")).otherwise(
+                 F.zip_with("parts", "alone", lambda p, q: p - q)))
+             .withColumn("s", F.aggregate("v", F.lit(0), lambda a, x: a + x).cast("long"))
+             .withColumn("most", F.floor(F.col("s") * 7 / 3).cast("long") - F.col("n"))
+             .where("4 * most >= 3 * n")
+             .join(open_.groupBy("class_no").agg(F.collect_list("key").alias("keys")), "class_no")
+             .select("class_no", "n", "most", "v", "keys"))
     rows = open_.join(scratch.save(sized), "class_no")
     bucket = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BUCKET)) + 1e-9).cast("int")
     least, most = F.ceil(F.col("n") * 3 / 4), F.least("most", F.floor(F.col("n") * 4 / 3))
     long = rows.withColumn("short", F.explode(F.sequence(bucket(least), bucket(F.least("most", "n"))))).select(
         "key", "short", bucket(F.col("n")).alias("long"), F.col("class_no").alias("a"), F.col("c").alias("ca"),
-        F.col("n").alias("na"), F.col("most").alias("ma"), F.col("bits").alias("xa"))
+        F.col("n").alias("na"), F.col("most").alias("ma"), F.col("v").alias("va"), F.col("keys").alias("ka"))
     short = rows.where("most >= n").withColumn("long", F.explode(F.sequence(bucket(F.col("n")), bucket(most)))).select(
         "key", bucket(F.col("n")).alias("short"), "long", F.col("class_no").alias("b"), F.col("c").alias("cb"),
-        F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("bits").alias("xb"))
-    differ = sum((F.bit_count(F.get("xa", F.lit(k)).bitwiseXOR(F.get("xb", F.lit(k)))) for k in range(MINIMA // 64)),
-                 F.lit(0))
+        F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("v").alias("vb"), F.col("keys").alias("kb"))
+    shared = sum((F.least(F.get("va", F.lit(k)), F.get("vb", F.lit(k))) for k in range(PARTS)), F.lit(0))
     met = (scratch.save(long).join(scratch.save(short), ["key", "short", "long"])
-           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)").where(differ <= DIFFER))
+           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)")
+           .where(7 * shared >= 3 * (F.col("na") + F.col("nb")))
+           .where(F.array_min(F.array_intersect("ka", "kb")) == F.col("key")))
     return scratch.save(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -221,7 +227,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     signed = scratch.save(sign(docs))
     classes = scratch.save(
         signed.where("n_shingles > 0").groupBy("digest")
-        .agg(F.first("sig").alias("sig"), F.first("bits").alias("bits"), F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"),
+        .agg(F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.min("doc_id").alias("least_id"),
              F.min(F.struct("doc_id", "th")).alias("one"))
         .withColumn("class_no", F.monotonically_increasing_id()))
     posted = postings(classes, scratch)
