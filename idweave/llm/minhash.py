@@ -38,6 +38,7 @@ empty table; extra columns pass through ``dedup``.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -175,6 +176,7 @@ def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: D
     open_ = scratch.save(here.join(scratch.save(mixed_), "key"))
     members = scratch.save(open_.select("class_no").distinct())
     theirs = scratch.save(texts.join(members, "class_no"))
+    at = F.shiftright("key", 32)
     # as an unsigned number modulo PARTS, a power of two: the low bits
     part = F.col("shingle").bitwiseAND(F.lit(PARTS - 1)).cast("int")
     alone = (theirs.mapInPandas(_shingle_rows, "class_no long, shingle long")
@@ -190,22 +192,26 @@ def rest_pairs(posted: DataFrame, known: DataFrame, classes: DataFrame, texts: D
              .withColumn("s", F.aggregate("v", F.lit(0), lambda a, x: a + x).cast("long"))
              .withColumn("most", F.floor(F.col("s") * 7 / 3).cast("long") - F.col("n"))
              .where("4 * most >= 3 * n")
-             .join(open_.groupBy("class_no").agg(F.collect_list("key").alias("keys")), "class_no")
-             .select("class_no", "n", "most", "v", "keys"))
+             .join(open_.groupBy("class_no").agg(*[
+                 F.max(F.when(at == k, F.col("key"))).alias(f"k{k}") for k in range(COORDS)]), "class_no")
+             .select("class_no", "n", "most", "v", *[f"k{k}" for k in range(COORDS)]))
     rows = open_.join(scratch.save(sized), "class_no")
     bucket = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BUCKET)) + 1e-9).cast("int")
+    # a class's lists by coordinate; a number for none that no other side has
+    lists = lambda none: F.array(*[F.coalesce(f"k{k}", F.lit(none).cast("long")) for k in range(COORDS)])
     least, most = F.ceil(F.col("n") * 3 / 4), F.least("most", F.floor(F.col("n") * 4 / 3))
     long = rows.withColumn("short", F.explode(F.sequence(bucket(least), bucket(F.least("most", "n"))))).select(
         "key", "short", bucket(F.col("n")).alias("long"), F.col("class_no").alias("a"), F.col("c").alias("ca"),
-        F.col("n").alias("na"), F.col("most").alias("ma"), F.col("v").alias("va"), F.col("keys").alias("ka"))
+        F.col("n").alias("na"), F.col("most").alias("ma"), F.col("v").alias("va"), lists(-1).alias("ka"))
     short = rows.where("most >= n").withColumn("long", F.explode(F.sequence(bucket(F.col("n")), bucket(most)))).select(
         "key", bucket(F.col("n")).alias("short"), "long", F.col("class_no").alias("b"), F.col("c").alias("cb"),
-        F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("v").alias("vb"), F.col("keys").alias("kb"))
-    shared = sum((F.least(F.get("va", F.lit(k)), F.get("vb", F.lit(k))) for k in range(PARTS)), F.lit(0))
+        F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("v").alias("vb"), lists(-2).alias("kb"))
+    shared = F.aggregate(F.zip_with("va", "vb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    # ends at the first coordinate in common: similar classes have one early on
+    first = reduce(lambda x, y: x & y, [(at <= k) | (F.get("ka", F.lit(k)) != F.get("kb", F.lit(k))) for k in range(COORDS - 1)])
     met = (scratch.save(long).join(scratch.save(short), ["key", "short", "long"])
-           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)")
-           .where(7 * shared >= 3 * (F.col("na") + F.col("nb")))
-           .where(F.array_min(F.array_intersect("ka", "kb")) == F.col("key")))
+           .where("ca <> cb and nb <= na and nb <= ma and na <= mb and (nb < na or a < b)").where(first)
+           .where(7 * shared >= 3 * (F.col("na") + F.col("nb"))))
     return scratch.save(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
